@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, DataFrameWriter
 
 
 def _layout(df: DataFrame, partitions: Sequence[str], repartition: int | None) -> DataFrame:
@@ -50,15 +49,15 @@ def save_counted(
     repartition: int | None = None,
     **options: str,
 ) -> int:
-    """Overwrite a path and return the rows written, counted during that one write.
+    """Overwrite a path and return the rows it then holds.
 
-    The observation sits above the shuffle, in the stage that writes, so a map
-    stage that runs again after a lost executor does not count twice.
+    The input is computed once, by the write. The count comes from the written
+    files, for Parquet and ORC from their footers alone. It is not observed during
+    the write: a session that has used an ``Observation`` can no longer ship freshly
+    fitted MLlib models to its tasks, because their summaries refer to the session.
     """
-    seen = Observation("rows_written")
-    rows = _layout(df, partitions, repartition).observe(seen, F.count(F.lit(1)).alias("rows"))
-    _writer(rows, fmt, partitions, "overwrite", options).save(path)
-    return seen.get["rows"]
+    save(df, path, fmt, partitions, repartition, **options)
+    return df.sparkSession.read.format(fmt).options(**options).schema(df.schema).load(path).count()
 
 
 def save_if_absent(
