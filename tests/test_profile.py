@@ -98,6 +98,21 @@ def test_box_stats_whiskers_and_outliers(spark):
     assert rough["median"] in (3.0, 4.0)
 
 
+def test_box_stats_refuses_other_labels_and_skips_missing_ones(spark):
+    df = spark.createDataFrame([(0, 1.0), (None, 9.0)], "y int, v double")
+    assert [r["y"] for r in quantiles.box_stats(df, "y", ["v"]).collect()] == [0]
+    with pytest.raises(Exception, match="unexpected label"):
+        quantiles.box_stats(df.unionByName(df.selectExpr("7 as y", "v")), "y", ["v"]).collect()
+
+
+def test_box_stats_count_values_once(spark, tmp_path):
+    df = spark.createDataFrame([(0, 1.0), (1, 9.0)], "y int, v double")
+    result = quantiles.box_stats(df, "y", ["v"])
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") >= 3
+
+
 def test_hist_puts_maximum_in_last_bin_and_skips_gaps(spark):
     rows = [(0, float(v), 3.0) for v in range(11)] + [(1, None, 3.0), (1, math.nan, 3.0)]
     df = spark.createDataFrame(rows, "y int, v double, k double")

@@ -122,6 +122,32 @@ def test_stream_takes_each_drop_once(spark, tmp_path):
     assert (table._bases(spark), table._batches(spark)) == versions
 
 
+def test_delta_merge_statement_parses(spark):
+    from tidemark.streaming.delta import merge_statement
+
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(
+        merge_statement("/data/t", ("id", "part"), "batch")
+    )
+    assert "MergeIntoTable" in plan.toString()
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_small_changes_are_broadcast(spark, tmp_path, limit):
+    table = UpsertTable(
+        str(tmp_path / "t"), ("id",), ("seq",), compact_ratio=1e9, broadcast_bytes=limit
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table.apply(frame(spark, A), 0)
+        table.apply(frame(spark, B), 1)
+        current = table.read(spark)
+        plan = current._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (limit > 0)
+        assert rows(current) == expect([A, B])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(

@@ -87,18 +87,16 @@ def area_metrics(
     """Areas under the ROC and precision-recall curves, from every distinct score.
 
     MLlib sorts the scores across tasks and carries running counts from one to the
-    next, so no task sees them all.
+    next, so no task sees them all. Each area reads ``df`` once; keep it if it is
+    costly.
     """
-    rows = df.select(named(label).alias("label"), named(score).alias("score")).persist()
-    try:
-        return {
-            metric: BinaryClassificationEvaluator(
-                labelCol="label", rawPredictionCol="score", metricName=metric, numBins=0
-            ).evaluate(rows)
-            for metric in BINARY_METRICS
-        }
-    finally:
-        rows.unpersist()
+    rows = df.select(named(label).alias("label"), named(score).alias("score"))
+    return {
+        metric: BinaryClassificationEvaluator(
+            labelCol="label", rawPredictionCol="score", metricName=metric, numBins=0
+        ).evaluate(rows)
+        for metric in BINARY_METRICS
+    }
 
 
 def area_metrics_frame(

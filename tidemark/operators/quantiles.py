@@ -16,15 +16,20 @@ from pyspark.sql import functions as F
 from tidemark.functions import named
 
 
+def values(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows ``(keys, column, value)`` for every value that is neither NULL nor NaN."""
+    pairs = [
+        F.struct(F.lit(c).alias("column"), named(c).cast("double").alias("value")) for c in columns
+    ]
+    return df.select(*[named(k).alias(k) for k in keys], F.inline(F.array(*pairs))).where(
+        F.col("value").isNotNull() & ~F.isnan("value")
+    )
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Rows ``(keys, column, value, n)``: how often each value occurs, gaps left out."""
     return (
-        df.select(
-            *[named(k).alias(k) for k in keys],
-            *[named(c).cast("double").alias(c) for c in columns],
-        )
-        .unpivot([named(k) for k in keys], [named(c) for c in columns], "column", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        values(df, keys, columns)
         .groupBy(*[named(k) for k in keys], "column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -34,24 +39,39 @@ def exact_quantiles(
     counts: DataFrame,
     keys: Sequence[str],
     probabilities: Sequence[float],
-    bins: int = 128,
+    bins: int = 64,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` weighted by ``n``, as array ``quantiles``.
 
     ``counts`` holds each ``(keys, value)`` once. ``bins`` bounds the share of a
     group's distinct values that one task sorts to about ``1 / bins``.
+
+    Say ``few_groups`` when the keys have a known small number of values: the bin
+    bounds (``bins`` numbers per group) and the wanted ranks are then broadcast, and
+    only values in wanted bins are shuffled. Otherwise Spark picks the joins.
     """
+    small = F.broadcast if few_groups else (lambda frame: frame)
     cuts = [i / bins for i in range(1, bins)]
     bounds = counts.groupBy(*keys).agg(
         F.percentile_approx("value", cuts, bins * 20).alias("bounds"),
         F.sum("n").alias("total"),
     )
-    binned = counts.join(bounds, list(keys)).select(
+
+    def bin_of(low: int, high: int) -> Column:
+        """Number of bounds below the value, by halving: compiled code, few comparisons."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        left = F.col("value") <= F.col("bounds")[middle]
+        return F.when(left, bin_of(low, middle)).otherwise(bin_of(middle + 1, high))
+
+    binned = counts.join(small(bounds), list(keys)).select(
         *keys,
         "value",
         "n",
         "total",
-        F.size(F.filter("bounds", lambda b: b < F.col("value"))).alias("bin"),
+        bin_of(0, bins - 1).alias("bin"),
     )
 
     def position(p: float) -> Column:
@@ -86,7 +106,7 @@ def exact_quantiles(
         Window.unboundedPreceding, 0
     )
     found = (
-        binned.join(targets, [*keys, "bin"])
+        binned.join(small(targets), [*keys, "bin"])
         .withColumn("next", F.col("start") + F.sum("n").over(running))
         .select(
             *keys,
@@ -118,23 +138,33 @@ def exact_quantiles(
 
 
 def box_stats(
-    df: DataFrame, label: str, columns: Sequence[str], exact: bool = True, accuracy: int = 10_000
+    df: DataFrame,
+    label: str,
+    columns: Sequence[str],
+    labels: Sequence = (0, 1),
+    exact: bool = True,
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """Quartiles, whiskers and outlier count of each column for each label value.
 
-    Whiskers reach the last values within 1.5 quartile ranges of the box. With
-    ``exact=False`` the quartiles come from a bounded sketch.
+    Whiskers reach the last values within 1.5 quartile ranges of the box. Rows
+    without a label are left out; a label not among ``labels`` raises, which keeps
+    the number of groups at ``len(labels) * len(columns)`` and their statistics small
+    enough to broadcast. With ``exact=False`` the quartiles come from a bounded sketch.
     """
+    unknown = F.raise_error(F.concat(F.lit("unexpected label: "), named(label).cast("string")))
+    expected = F.when(named(label).isin(*labels), named(label)).otherwise(
+        unknown.cast(df.schema[label].dataType)
+    )
+    labelled = df.where(named(label).isNotNull()).withColumn(label, expected)
+
     keys = [label, "column"]
-    counts = value_counts(df, [label], columns)
+    counts = value_counts(labelled, [label], columns)
     if exact:
-        quartiles = exact_quantiles(counts, keys, (0.25, 0.5, 0.75))
+        quartiles = exact_quantiles(counts, keys, (0.25, 0.5, 0.75), few_groups=True)
     else:
-        values = df.select(
-            named(label).alias(label), *[named(c).cast("double").alias(c) for c in columns]
-        ).unpivot([named(label)], [named(c) for c in columns], "column", "value")
         quartiles = (
-            values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+            values(labelled, [label], columns)
             .groupBy(*keys)
             .agg(F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("quantiles"))
         )
@@ -151,7 +181,7 @@ def box_stats(
     )
     inside = F.col("value").between(F.col("fence_low"), F.col("fence_high"))
     return (
-        counts.join(box, keys)
+        counts.join(F.broadcast(box), keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import BinSpec
 from tidemark.operators import dashboard, derive
-from tidemark.sinks import publish_table, save
+from tidemark.sinks import publish_location, save
 from tidemark.sources.batch import read_catalog_table
 
 
@@ -32,9 +32,9 @@ class DashboardColumns:
 def publish_dashboard(
     spark: SparkSession, processed: DataFrame, bins: Sequence[BinSpec], path: str, name: str
 ) -> DataFrame:
-    """Write the binned table to ``path``, publish it as ``name`` and return it."""
-    save(derive.bin_columns(processed, bins), f"{path}/visual")
-    publish_table(spark.read.parquet(f"{path}/visual"), name, f"{path}/published")
+    """Write the binned table to ``path``, publish it there as ``name`` and return it."""
+    save(derive.bin_columns(processed, bins), path)
+    publish_location(spark, name, path)
     return read_catalog_table(spark, name)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
 def _layout(df: DataFrame, partitions: Sequence[str], repartition: int | None) -> DataFrame:
@@ -78,3 +78,9 @@ def publish_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") ->
     managed directory behind, which would block the next session.
     """
     df.write.format(fmt).mode("overwrite").option("path", path).saveAsTable(name)
+
+
+def publish_location(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
+    """Publish files already at ``path`` as a catalog table, without copying them."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source=fmt)

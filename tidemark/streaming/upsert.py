@@ -45,14 +45,18 @@ def latest_per_key(
     return unique.unionByName(df.where(~_has_key(key)))
 
 
-def replace_keys(target: DataFrame, fresh: DataFrame, key: Sequence[str]) -> DataFrame:
+def replace_keys(
+    target: DataFrame, fresh: DataFrame, key: Sequence[str], small: bool = False
+) -> DataFrame:
     """``fresh`` rows, and the target rows whose key is not among them.
 
     NULL keys match nothing, so such rows of both sides are kept, and those of the
-    target bypass the join rather than meet in one task.
+    target bypass the join rather than meet in one task. With ``small`` the fresh
+    keys are broadcast, and the target is not shuffled.
     """
     keyed = target.where(_has_key(key))
-    kept = keyed.join(fresh.where(_has_key(key)).select(*key), list(key), "left_anti")
+    keys = fresh.where(_has_key(key)).select(*key)
+    kept = keyed.join(F.broadcast(keys) if small else keys, list(key), "left_anti")
     return (
         kept.select(*target.columns)
         .unionByName(target.where(~_has_key(key)))
@@ -78,6 +82,9 @@ class UpsertTable:
     batches, they are folded into a new base, so the full rewrite is paid once per
     that much new data.
 
+    While the stored changes are no larger than ``broadcast_bytes``, their keys are
+    broadcast to the base; beyond that both sides are shuffled.
+
     Every directory is written under the id of its batch and counts only once Spark
     has marked it complete. A batch that is replayed after a failure writes the same
     directories again.
@@ -88,6 +95,7 @@ class UpsertTable:
     order_by: tuple[str, ...] = ()
     compact_ratio: float = 0.2
     max_batches: int = 200
+    broadcast_bytes: int = 32 * 1024 * 1024
     fmt: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
 
@@ -134,7 +142,8 @@ class UpsertTable:
             changes.where(_has_key(self.key)), self.key, ["batch"], descending=True
         )
         fresh = latest.unionByName(changes.where(~_has_key(self.key))).drop("batch")
-        return replace_keys(base, fresh, self.key)
+        size = sum(size_bytes(spark, self._batch_path(b)) for b in batches)
+        return replace_keys(base, fresh, self.key, small=size <= self.broadcast_bytes)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Absorb one batch; usable as ``foreachBatch`` callback."""

@@ -55,6 +55,16 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """The rows written once and read back, for operators that pass over them again.
+
+    The view reads the two largest tables; one row per customer is cheap to keep.
+    """
+    path = workspace(df.sparkSession)
+    save(df, path)
+    return read_table(df.sparkSession, path)
+
+
 # Sources
 
 
@@ -276,7 +286,8 @@ def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def hist_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["tenure", "usage_frequency", "balance", "last_interaction"]
-    return profile.hist_by_label(customer_360(spark, sf_dir), "churn", columns, bins=10)
+    customers = staged(customer_360(spark, sf_dir).select("churn", *columns))
+    return profile.hist_by_label(customers, "churn", columns, bins=10)
 
 
 # Dashboard
@@ -437,21 +448,22 @@ def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = customer_360(spark, sf_dir).select("customer_id", *CATEGORIES)
+    rows = staged(customer_360(spark, sf_dir).select("customer_id", *CATEGORIES))
     indexed = features.string_index(rows, CATEGORIES)
     return indexed.select("customer_id", *[f"{c}_idx" for c in CATEGORIES])
 
 
 @query
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = customer_360(spark, sf_dir).select("customer_id", "segment")
+    rows = staged(customer_360(spark, sf_dir).select("customer_id", "segment"))
     encoded = features.one_hot(rows, ["segment"])
     return features.vector_slots(encoded, "segment_vec", ["customer_id"])
 
 
 @query
 def assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = customer_360(spark, sf_dir).select("customer_id", "segment", "support_calls", "tenure")
+    columns = ["customer_id", "segment", "support_calls", "tenure"]
+    rows = staged(customer_360(spark, sf_dir).select(*columns))
     encoded = features.one_hot(rows, ["segment"])
     assembled = features.assemble(encoded, ["segment_vec"], ["support_calls", "tenure"])
     return features.vector_slots(assembled, features.RAW, ["customer_id"])
@@ -460,12 +472,12 @@ def assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["tenure", "balance", "last_interaction"]
-    rows = customer_360(spark, sf_dir).select("customer_id", *columns)
+    rows = staged(customer_360(spark, sf_dir).select("customer_id", *columns))
     scaled = features.standard_scale(rows, columns)
     return rounded(features.vector_slots(scaled, features.FEATURES, ["customer_id"]))
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Prepared training and test rows, read back from a table written once."""
     path = workspace(spark)
     prepared = features.prepare(customer_360(spark, sf_dir), FEATURES)
@@ -477,14 +489,14 @@ def _staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-# The staged table holds the label under its new name.
-STAGED = FeatureConfig(key="customer_id", label="label")
+# The prepared table holds the label under its new name.
+PREPARED = FeatureConfig(key="customer_id", label="label")
 
 
 @query
 def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _staged(spark, sf_dir)
-    fitted = features.fit_features(train, STAGED)
+    train, test = _prepared(spark, sf_dir)
+    fitted = features.fit_features(train, PREPARED)
     scaled = fitted.transform(train.unionByName(test))
     return rounded(features.vector_slots(scaled, features.FEATURES, ["customer_id", "label"]))
 
@@ -493,8 +505,8 @@ def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _train(spark: SparkSession, sf_dir: str, algorithm: str):
-    train, test = _staged(spark, sf_dir)
-    fitted = features.fit_features(train, STAGED)
+    train, test = _prepared(spark, sf_dir)
+    fitted = features.fit_features(train, PREPARED)
     model = models.fit_classifier(fitted.transform(train), algorithm, key="customer_id")
     return fitted, model, train, test
 
@@ -525,8 +537,8 @@ def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = _staged(spark, sf_dir)
-    rows = features.fit_features(train, STAGED).transform(train)
+    train, _ = _prepared(spark, sf_dir)
+    rows = features.fit_features(train, PREPARED).transform(train)
     rows = rows.select("customer_id", "features", "label").persist()
     try:
         grid = {"maxDepth": [2, 4], "impurity": ["gini", "entropy"]}
@@ -557,7 +569,8 @@ def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def eval_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(evaluation.area_metrics_frame(scored_labels(spark, sf_dir)))
+    scored = staged(scored_labels(spark, sf_dir).select("label", "rawPrediction"))
+    return rounded(evaluation.area_metrics_frame(scored))
 
 
 # Registry
@@ -573,13 +586,14 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count(F.lit(1)).cast("double").alias("rows"),
         )
     )
-    return scores.unpivot(["lang", "source"], ["accuracy", "rows"], "name", "value").select(
+    rows = scores.unpivot(["lang", "source"], ["accuracy", "rows"], "name", "value").select(
         F.concat_ws("/", "lang", "source").alias("run_id"),
         F.col("source").alias("model_uid"),
         F.lit("metric").alias("kind"),
         "name",
         F.col("value").cast("string").alias("value"),
     )
+    return staged(rows)
 
 
 def _registry(runs: DataFrame) -> DataFrame:
