@@ -1,6 +1,6 @@
 """Runs queries in Spark and their SQL in DuckDB and compares whole results.
 
-    python tests/compare.py [--sf 0.01] [name ...]
+    python tests/compare.py [--sf 0.01 | --dir PATH] [name ...]
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ DATA = Path("/root/testdata")
 def connect(sf_dir: Path) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for file in sorted(sf_dir.glob("*.parquet")):
-        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+        source = f"{file}/*.parquet" if file.is_dir() else file
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{source}')")
     return con
 
 
@@ -82,10 +83,11 @@ def main(argv: list[str]) -> int:
 
     import __spark_entry__ as entry
 
-    sf = "0.01"
+    sf_dir = DATA / "sf0.01"
     if argv[:1] == ["--sf"]:
-        sf, argv = argv[1], argv[2:]
-    sf_dir = DATA / f"sf{sf}"
+        sf_dir, argv = DATA / f"sf{argv[1]}", argv[2:]
+    elif argv[:1] == ["--dir"]:
+        sf_dir, argv = Path(argv[1]), argv[2:]
     spark, con = make_session(), connect(sf_dir)
     sqls, bad = entry.oracle_sql(), 0
     for name, run in entry.queries().items():
