@@ -44,6 +44,8 @@ def test_column_names_with_spaces_and_dots(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "`Support Calls` int, `a.b` string")
     got = {r["column"]: r["null_count"] for r in profile.null_profile(df).collect()}
     assert got == {"Support Calls": 0, "a.b": 1}
+    assert clean.drop_missing_rows(df, ["a.b"]).count() == 1
+    assert clean.deduplicate(df, ["a.b"], ["Support Calls"]).count() == 2
     assert clean.normalise_names(df.select("Support Calls")).columns == ["Support_Calls"]
 
 

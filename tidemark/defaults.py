@@ -19,6 +19,17 @@ TENURE_BINS = (
     BinLabel("Loyal", 24, None),
 )
 
+# Steps of the exploratory bins, as (bound, label), and the label beyond them.
+AGE_STEPS = ((40, "Young"), (65, "Middle-Aged"))
+AGE_BEYOND = "Senior"
+BALANCE_ZERO = "Zero"
+BALANCE_STEPS = ((50_000, "Low"), (100_000, "Medium"))
+BALANCE_BEYOND = "High"
+SCORE_STEPS = ((600, "Poor"), (700, "Fair"), (800, "Good"))
+SCORE_BEYOND = "Excellent"
+TENURE_STEPS = ((3, "New"), (12, "Early-Stage"), (24, "Mid-term"))
+TENURE_BEYOND = "Loyal"
+
 # Search grids per algorithm. An algorithm without a grid is fitted once.
 GRIDS = {
     "rfc": {

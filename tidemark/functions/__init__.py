@@ -1,10 +1,11 @@
 """Column expressions shared by the operators."""
 
-from tidemark.functions.binning import BinLabel, BinSpec, bin_expression
+from tidemark.functions.binning import BinLabel, BinSpec, bin_expression, step_expression
 from tidemark.functions.columns import (
     categorical_columns,
     named,
     numeric_columns,
+    quoted,
 )
 from tidemark.functions.hashing import hash_bucket
 from tidemark.functions.missing import is_missing
@@ -22,4 +23,6 @@ __all__ = [
     "numeric_columns",
     "pairwise_corr",
     "percent",
+    "quoted",
+    "step_expression",
 ]

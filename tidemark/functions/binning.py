@@ -58,3 +58,15 @@ def bin_expression(value: str | Column, labels: Sequence[BinLabel]) -> Column:
     """First label that covers the value; NULL when none does."""
     column = named(value) if isinstance(value, str) else value
     return F.coalesce(*[F.when(label.covers(column), F.lit(label.name)) for label in labels])
+
+
+def step_expression(
+    value: Column, steps: Sequence[tuple[float, str]], beyond: str, inclusive: bool = False
+) -> Column:
+    """Label of the first bound the value is below (or at, if inclusive); ``beyond`` for the
+    rest, which takes in NULL."""
+    reached = [
+        F.when(value <= bound if inclusive else value < bound, F.lit(label))
+        for bound, label in steps
+    ]
+    return F.coalesce(*reached, F.lit(beyond))

@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """The name in backticks, so that dots and spaces in it mean nothing."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
-    """Column of exactly this name, also when the name has dots or spaces."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column of exactly this name."""
+    return F.col(quoted(name))
 
 
 def categorical_columns(schema: T.StructType, exclude: Iterable[str] = ()) -> list[str]:

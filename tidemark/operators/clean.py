@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.defaults import CleanConfig
-from tidemark.functions import is_missing, named
+from tidemark.functions import is_missing, named, quoted
 
 
 def drop_columns(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
@@ -28,7 +28,7 @@ def project_label(df: DataFrame, columns: Sequence[str], label: str) -> DataFram
 
 def drop_missing_rows(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """Without rows that have NULL or NaN in any listed column; all rows when none is listed."""
-    return df.dropna(how="any", subset=list(columns)) if columns else df
+    return df.dropna(how="any", subset=[quoted(c) for c in columns]) if columns else df
 
 
 def missing_rows(df: DataFrame, column: str) -> DataFrame:
@@ -55,7 +55,7 @@ def first_per_key(
     """
     rest = [c for c in df.columns if c not in set(key) | set(order_by)]
     turn = F.desc if descending else F.asc
-    order = [turn(c) for c in [*order_by, *rest]]
+    order = [turn(quoted(c)) for c in [*order_by, *rest]]
     rank = F.row_number().over(Window.partitionBy(*[named(c) for c in key]).orderBy(*order))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 

@@ -7,7 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import BinSpec, bin_expression, guarded_ratio, named
+from tidemark.defaults import (
+    AGE_BEYOND,
+    AGE_STEPS,
+    BALANCE_BEYOND,
+    BALANCE_STEPS,
+    BALANCE_ZERO,
+    SCORE_BEYOND,
+    SCORE_STEPS,
+    TENURE_BEYOND,
+    TENURE_STEPS,
+)
+from tidemark.functions import BinSpec, bin_expression, guarded_ratio, named, step_expression
 
 
 def bin_columns(df: DataFrame, specs: Sequence[BinSpec] = ()) -> DataFrame:
@@ -19,9 +30,7 @@ def bin_columns(df: DataFrame, specs: Sequence[BinSpec] = ()) -> DataFrame:
 
 def bin_age(df: DataFrame, column: str = "age", output: str = "age_category") -> DataFrame:
     """Young below 40, Middle-Aged below 65, else Senior (also NULL)."""
-    value = named(column)
-    label = F.when(value < 40, "Young").when(value < 65, "Middle-Aged").otherwise("Senior")
-    return df.withColumn(output, label)
+    return df.withColumn(output, step_expression(named(column), AGE_STEPS, AGE_BEYOND))
 
 
 def bin_balance(
@@ -29,38 +38,20 @@ def bin_balance(
 ) -> DataFrame:
     """Zero at 0, Low below 50,000, Medium below 100,000, else High (also NULL)."""
     value = named(column)
-    label = (
-        F.when(value == 0, "Zero")
-        .when(value < 50_000, "Low")
-        .when(value < 100_000, "Medium")
-        .otherwise("High")
-    )
-    return df.withColumn(output, label)
+    rest = step_expression(value, BALANCE_STEPS, BALANCE_BEYOND)
+    return df.withColumn(output, F.when(value == 0, BALANCE_ZERO).otherwise(rest))
 
 
 def bin_score(
     df: DataFrame, column: str = "credit_score", output: str = "credit_score_category"
 ) -> DataFrame:
     """Poor below 600, Fair below 700, Good below 800, else Excellent (also NULL)."""
-    value = named(column)
-    label = (
-        F.when(value < 600, "Poor")
-        .when(value < 700, "Fair")
-        .when(value < 800, "Good")
-        .otherwise("Excellent")
-    )
-    return df.withColumn(output, label)
+    return df.withColumn(output, step_expression(named(column), SCORE_STEPS, SCORE_BEYOND))
 
 
 def bin_tenure(df: DataFrame, column: str = "tenure", output: str = "tenure_category") -> DataFrame:
     """New to 3, Early-Stage to 12, Mid-term to 24, else Loyal (also NULL)."""
-    value = named(column)
-    label = (
-        F.when(value <= 3, "New")
-        .when(value <= 12, "Early-Stage")
-        .when(value <= 24, "Mid-term")
-        .otherwise("Loyal")
-    )
+    label = step_expression(named(column), TENURE_STEPS, TENURE_BEYOND, inclusive=True)
     return df.withColumn(output, label)
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.defaults import FeatureConfig
 from tidemark.functions import categorical_columns, named, numeric_columns
+from tidemark.operators.clean import drop_missing_rows
 
 RAW = "features_raw"
 FEATURES = "features"
@@ -85,7 +86,7 @@ def prepare(df: DataFrame, config: FeatureConfig) -> DataFrame:
         *[named(c) for c in categories],
         *[named(c).cast("double").alias(c) for c in numbers],
     )
-    return rows.dropna(subset=numbers) if config.nulls == "drop" and numbers else rows
+    return drop_missing_rows(rows, numbers) if config.nulls == "drop" else rows
 
 
 def feature_columns(df: DataFrame, config: FeatureConfig) -> tuple[list[str], list[str]]:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
+from tidemark.functions import named
+
 
 def _layout(df: DataFrame, partitions: Sequence[str], repartition: int | None) -> DataFrame:
     """Bring rows of one partition value together, without one task per value.
@@ -17,7 +19,7 @@ def _layout(df: DataFrame, partitions: Sequence[str], repartition: int | None) -
     if repartition is not None:
         return df.repartition(repartition)
     if partitions:
-        return df.hint("rebalance", *partitions)
+        return df.hint("rebalance", *[named(p) for p in partitions])
     return df
 
 

@@ -99,19 +99,23 @@ class UpsertTable:
     fmt: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
 
-    def _versions(self, spark: SparkSession, kind: str, prefix: str) -> list[int]:
+    def _versions(self, spark: SparkSession, kind: str, prefix: str, after: int) -> list[int]:
         found = []
         for name in list_names(spark, f"{self.path}/{kind}"):
             match = re.fullmatch(rf"{prefix}=(\d+)", name)
-            if match and is_committed(spark, f"{self.path}/{kind}/{name}"):
+            if (
+                match
+                and int(match.group(1)) > after
+                and is_committed(spark, f"{self.path}/{kind}/{name}")
+            ):
                 found.append(int(match.group(1)))
         return sorted(found)
 
     def _bases(self, spark: SparkSession) -> list[int]:
-        return self._versions(spark, "base", "v")
+        return self._versions(spark, "base", "v", -1)
 
-    def _batches(self, spark: SparkSession) -> list[int]:
-        return self._versions(spark, "changes", "batch")
+    def _batches(self, spark: SparkSession, after: int = -1) -> list[int]:
+        return self._versions(spark, "changes", "batch", after)
 
     def _base_path(self, version: int) -> str:
         return f"{self.path}/base/v={version}"
@@ -129,7 +133,7 @@ class UpsertTable:
             raise ValueError(f"no committed table at {self.path}")
         newest = bases[-1]
         base = spark.read.format(self.fmt).load(self._base_path(newest))
-        batches = [b for b in self._batches(spark) if b > newest]
+        batches = self._batches(spark, after=newest)
         if not batches:
             return base
         changes = (
@@ -148,7 +152,8 @@ class UpsertTable:
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Absorb one batch; usable as ``foreachBatch`` callback."""
         spark = batch.sparkSession
-        bases, batches = self._bases(spark), self._batches(spark)
+        bases = self._bases(spark)
+        batches = self._batches(spark, after=max(bases, default=-1))
         newest = max([*bases, *batches], default=-1)
         if batch_id < newest:
             raise ValueError(
@@ -165,7 +170,7 @@ class UpsertTable:
     def compact(self, spark: SparkSession, version: int, force: bool = False) -> bool:
         """Fold the changes up to ``version`` into a new base when they are large enough."""
         base = [v for v in self._bases(spark) if v < version][-1]
-        batches = [b for b in self._batches(spark) if b > base]
+        batches = self._batches(spark, after=base)
         changed = sum(size_bytes(spark, self._batch_path(b)) for b in batches)
         limit = self.compact_ratio * size_bytes(spark, self._base_path(base))
         if not force and changed <= limit and len(batches) <= self.max_batches:
