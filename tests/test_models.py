@@ -1,5 +1,6 @@
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier, LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -88,7 +89,9 @@ def test_evaluator_choice():
 
 
 @pytest.mark.parametrize("algorithm", sorted(models.ALGORITHMS))
-def test_train_save_load_predict(spark, tmp_path, prepared, fitted, algorithm):
+def test_train_save_load_predict(spark, tmp_path, prepared, fitted, algorithm, monkeypatch):
+    monkeypatch.setitem(models.ALGORITHMS, "svc", lambda: LinearSVC(maxIter=5))
+    monkeypatch.setitem(models.ALGORITHMS, "gbt", lambda: GBTClassifier(maxIter=3))
     rows = fitted.transform(prepared)
     model = models.fit_classifier(rows, algorithm, key="id")
     uid = models.save_model(model, str(tmp_path))

@@ -1,10 +1,9 @@
-"""Properties every query's physical plan must have, whatever the data size."""
+"""What physical plans must and must not read."""
 
 import re
 
 import pytest
 
-from tidemark.workload.oracles import oracles
 from tidemark.workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -27,13 +26,6 @@ def tables(plan):
     return set(re.findall(r"/(\w+)\.parquet", plan))
 
 
-@pytest.mark.parametrize("name", sorted(oracles()))
-def test_no_python_and_no_unkeyed_joins(spark, name):
-    plan = plan_of(QUERIES[name](spark, SF))
-    for banned in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas", "MapInArrow"):
-        assert banned not in plan
-
-
 @pytest.mark.parametrize("name", DASHBOARD)
 def test_dashboard_leaves_out_the_largest_tables(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))

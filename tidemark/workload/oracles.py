@@ -214,7 +214,8 @@ def standard_scale() -> str:
     )
 
 
-def ml_features() -> str:
+def scaled_slots() -> str:
+    """CTE ``z``: every feature slot of every row, scaled as fitted on the training part."""
     tr = "(SELECT * FROM t WHERE part = 'train')"
     keep = "part, CAST(churn AS DOUBLE) AS label,"
     n1 = f"(SELECT COUNT(DISTINCT segment) FROM {tr})"
@@ -227,9 +228,31 @@ def ml_features() -> str:
     ]
     return f"""{C360} {SPLIT_CTE}, x AS ({union(slots)}),
     st AS (SELECT slot, AVG(value) AS mean, STDDEV_SAMP(value) AS dev FROM x
-           WHERE part = 'train' GROUP BY slot)
-    SELECT customer_id, label, slot, ROUND((value - mean) / dev, 6) AS value
-    FROM x JOIN st USING (slot)"""
+           WHERE part = 'train' GROUP BY slot),
+    z AS (SELECT customer_id, part, label, slot, (value - mean) / dev AS value
+          FROM x JOIN st USING (slot))"""
+
+
+def ml_features() -> str:
+    return f"""{scaled_slots()}
+    SELECT customer_id, label, slot, ROUND(value, 6) AS value FROM z"""
+
+
+def naive_bayes(rows: str) -> str:
+    """Gaussian naive Bayes fitted on the training part, predicting ``rows``."""
+    return f"""{scaled_slots()},
+    n AS (SELECT label, LN(COUNT(DISTINCT customer_id)) AS log_n FROM z WHERE part = 'train'
+          GROUP BY label),
+    eps AS (SELECT 1e-9 * MAX(v) AS e FROM (SELECT VAR_POP(value) AS v FROM z
+            WHERE part = 'train' GROUP BY slot)),
+    g AS (SELECT label, slot, AVG(value) AS mean, VAR_POP(value) + (SELECT e FROM eps) AS var
+          FROM z WHERE part = 'train' GROUP BY label, slot),
+    l AS (SELECT z.customer_id, z.label, n.label AS class,
+                 MAX(log_n) - SUM((z.value - mean) ** 2 / var + LN(var)) / 2 AS score
+          FROM z JOIN g USING (slot) JOIN n ON n.label = g.label
+          WHERE {rows} GROUP BY z.customer_id, z.label, n.label)
+    SELECT customer_id, label, ARG_MAX(class, score) AS prediction
+    FROM l GROUP BY customer_id, label"""
 
 
 EVAL_METRICS = (
@@ -386,6 +409,8 @@ def oracles() -> dict[str, str]:
         "assemble": assemble(),
         "standard_scale": standard_scale(),
         "ml_features": ml_features(),
+        "predict_nb": naive_bayes("part = 'test'"),
+        "batch_predict": naive_bayes("TRUE"),
         "confusion_matrix": f"""{SCORED} SELECT label, COUNT(*) FILTER (WHERE prediction = 0)
             AS pred_0, COUNT(*) FILTER (WHERE prediction = 1) AS pred_1 FROM s GROUP BY label""",
         "eval_metrics": EVAL_METRICS,

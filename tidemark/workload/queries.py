@@ -527,7 +527,7 @@ for _algorithm in models.ALGORITHMS:
 @query
 def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = workspace(spark)
-    fitted, model, train, test = _train(spark, sf_dir, "lr")
+    fitted, model, train, test = _train(spark, sf_dir, "nb")
     stages = [models.save_model(m, home) for m in (fitted, model)]
     scored = train.unionByName(test)
     for uid in stages:
