@@ -20,7 +20,9 @@ FEATURE = FeatureConfig(key="customer_id", label="churn", bins=(BinSpec("tenure"
 
 @pytest.fixture(scope="module")
 def customers(spark):
-    return customer_360(spark, SF).cache()
+    rows = customer_360(spark, SF).cache()
+    yield rows
+    rows.unpersist()
 
 
 def test_train_promote_infer(spark, tmp_path, customers):

@@ -6,7 +6,7 @@ import pytest
 
 from tidemark.workload.queries import QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 DASHBOARD = [
     "kpi_metrics",
     "churn_distribution",
