@@ -79,6 +79,11 @@ def test_dedup_subset_keeps_first_in_order(spark):
     assert got == {(1, "a", 3), (2, None, 1)}
 
 
+def test_dedup_subset_with_a_map_column(spark):
+    df = spark.sql("select 1 as k, 2 as n, map('a', 1) as m union all select 1, 1, map('b', 2)")
+    assert [(r["n"], r["m"]) for r in clean.deduplicate(df, ["k"], ["n"]).collect()] == [(1, {"b": 2})]
+
+
 def test_dropping_the_key_first_collapses_equal_customers(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (2, "a"), (3, None)], "id int, v string")
     by_default = clean.clean(df, CleanConfig(drop=("id",), dropna=("v",)))

@@ -103,6 +103,11 @@ def test_hash_split_is_disjoint_complete_and_stable(spark):
     assert {r["k"] for r in again.collect()} == a
 
 
+def test_hash_split_takes_fine_ratios(spark):
+    _, test = split.split_by_hash(spark.range(20_000).selectExpr("id as k"), "k", ratio=0.125)
+    assert 2_300 < test.count() < 2_700
+
+
 def test_hash_split_keeps_null_keys(spark):
     df = spark.createDataFrame([(None,), (1,)], "k int")
     train, test = split.split_by_hash(df, "k")

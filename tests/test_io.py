@@ -46,6 +46,14 @@ def test_partitioned_write_is_counted_and_pruned(spark, tmp_path):
     assert len(files(tmp_path / "t" / "g=k1" / "h=0")) == 1
 
 
+def test_partition_values_keep_their_type_with_a_schema(spark, tmp_path):
+    df = spark.createDataFrame([(1, "01"), (2, "02")], "id int, zip string")
+    save(df, str(tmp_path / "t"), partitions=["zip"])
+    assert dict(read_table(spark, str(tmp_path / "t")).dtypes)["zip"] == "int"
+    typed = read_table(spark, str(tmp_path / "t"), schema=df.schema)
+    assert sorted(r["zip"] for r in typed.collect()) == ["01", "02"]
+
+
 def test_count_leaves_fitted_models_usable(spark, tmp_path):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.linalg import Vectors

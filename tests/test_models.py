@@ -57,6 +57,12 @@ def test_null_handling_choices(spark):
         features.feature_stages([], ["x"], "other")
 
 
+def test_boolean_columns_are_numbers(spark):
+    df = spark.createDataFrame([(1, True, "a")], "id int, b boolean, s string")
+    assert features.feature_columns(df, FeatureConfig(key="id", label=None)) == (["s"], ["b"])
+    assert features.prepare(df, FeatureConfig(key="id", label=None)).first()["b"] == 1.0
+
+
 def test_too_many_categories_raise(spark):
     df = spark.range(100).selectExpr("cast(id as string) as g")
     with pytest.raises(ValueError, match="too many categories"):
@@ -114,6 +120,9 @@ def test_search_is_repeatable_and_picks_the_best(spark, prepared, fitted):
     first = models.cross_validate(rows, "dtc", grid, key="id")
     second = models.cross_validate(rows.repartition(5), "dtc", grid, key="id")
     assert first.avgMetrics == pytest.approx(second.avgMetrics)
+    # Without a key Spark draws the folds.
+    drawn = models.cross_validate(rows, "dtc", grid)
+    assert len(drawn.avgMetrics) == 2
     scores = {r["params"]: r["score"] for r in models.cv_scores(spark, first, "accuracy").collect()}
     assert set(scores) == {"maxDepth=1", "maxDepth=4"}
     best = models.fit_classifier(rows, "dtc", grid, key="id")

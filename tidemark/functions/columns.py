@@ -26,6 +26,6 @@ def categorical_columns(schema: T.StructType, exclude: Iterable[str] = ()) -> li
 
 
 def numeric_columns(schema: T.StructType, exclude: Iterable[str] = ()) -> list[str]:
-    """Numeric columns, in schema order."""
-    skip = set(exclude)
-    return [f.name for f in schema if isinstance(f.dataType, T.NumericType) and f.name not in skip]
+    """Numeric and boolean columns, in schema order."""
+    skip, kinds = set(exclude), (T.NumericType, T.BooleanType)
+    return [f.name for f in schema if isinstance(f.dataType, kinds) and f.name not in skip]

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.defaults import CleanConfig
 from tidemark.functions import is_missing, named, quoted
@@ -41,6 +42,10 @@ def head(df: DataFrame, order_by: Sequence[str], n: int = 2) -> DataFrame:
     return df.orderBy(*[named(c) for c in order_by]).limit(n)
 
 
+def _sortable(data_type: T.DataType) -> bool:
+    return not any(kind in data_type.simpleString() for kind in ("map<", "variant"))
+
+
 def first_per_key(
     df: DataFrame,
     key: Sequence[str],
@@ -53,7 +58,8 @@ def first_per_key(
     shuffle (WindowGroupLimit), so a key that holds a large share of all rows does
     not reach one task whole.
     """
-    rest = [c for c in df.columns if c not in set(key) | set(order_by)]
+    given = set(key) | set(order_by)
+    rest = [f.name for f in df.schema if f.name not in given and _sortable(f.dataType)]
     turn = F.desc if descending else F.asc
     order = [turn(quoted(c)) for c in [*order_by, *rest]]
     rank = F.row_number().over(Window.partitionBy(*[named(c) for c in key]).orderBy(*order))

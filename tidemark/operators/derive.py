@@ -63,7 +63,10 @@ def ratio_column(df: DataFrame, numerator: str, divisor: str) -> DataFrame:
 
 
 def engagement_score(
-    df: DataFrame, adoption: str = "adoption", stickiness: str = "stickiness", growth: str = "growth"
+    df: DataFrame,
+    adoption: str = "adoption",
+    stickiness: str = "stickiness",
+    growth: str = "growth",
 ) -> DataFrame:
     """Adds ``engagement_score``, the product of the three inputs."""
     return df.withColumn("engagement_score", named(adoption) * named(stickiness) * named(growth))

@@ -95,7 +95,9 @@ def feature_columns(df: DataFrame, config: FeatureConfig) -> tuple[list[str], li
     return categorical_columns(df.schema, skip), numeric_columns(df.schema, skip)
 
 
-def feature_stages(categories: Sequence[str], numbers: Sequence[str], nulls: str = "impute") -> list:
+def feature_stages(
+    categories: Sequence[str], numbers: Sequence[str], nulls: str = "impute"
+) -> list:
     """Unfitted stages from prepared columns to the scaled vector ``features``.
 
     All category columns share one indexer and one encoder, so fitting takes one

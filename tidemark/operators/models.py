@@ -25,7 +25,7 @@ from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.defaults import FOLDS, SEED
-from tidemark.functions import hash_bucket
+from tidemark.functions import hash_bucket, named
 from tidemark.operators.features import FEATURES, RAW
 from tidemark.sources.storage import ensure_checkpoint_dir
 
@@ -67,6 +67,20 @@ def evaluator_for(metric: str) -> Evaluator:
     return MulticlassClassificationEvaluator(metricName=metric)
 
 
+class KeyedCrossValidator(CrossValidator):
+    """Cross validation whose folds are filters on a fold column, in compiled code.
+
+    The stock search checks a fold column with a Python UDF on every row of every fold.
+    """
+
+    def _kFold(self, dataset: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+        fold = named(self.getFoldCol())
+        return [
+            (dataset.where(fold != i), dataset.where(fold == i))
+            for i in range(self.getNumFolds())
+        ]
+
+
 def cross_validate(
     train: DataFrame,
     algorithm: str,
@@ -79,7 +93,7 @@ def cross_validate(
 ) -> CrossValidatorModel:
     """Grid search with k folds; with a ``key`` the folds are fixed by its hash."""
     estimator, _ = classifier(algorithm)
-    search = CrossValidator(
+    search = (KeyedCrossValidator if key is not None else CrossValidator)(
         estimator=estimator,
         estimatorParamMaps=param_grid(estimator, grid),
         evaluator=evaluator_for(metric),

@@ -185,7 +185,8 @@ def hist_by_label(df: DataFrame, label: str, columns: Sequence[str], bins: int =
         low, high = span[name]["low"], span[name]["high"]
         place = F.floor(F.try_divide(named(name) - low, (high - low) / bins))
         # The maximum belongs to the last bin; a column that does not vary to the first.
-        return F.when(named(name).isNotNull(), F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)))
+        inside = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1))
+        return F.when(named(name).isNotNull(), inside)
 
     return (
         narrow.select(named(label), *[bin_of(c).cast("int").alias(c) for c in columns])

@@ -61,7 +61,8 @@ def promotion_decisions(
 
     A candidate is promoted when the name has no champion yet, or when its metric
     exceeds the champion's by more than the margin. A metric that is missing on
-    either side means no promotion.
+    either side means no promotion. Each candidate is judged alone: to append the
+    result to the registry, give one candidate per name.
     """
     scores = run_metric(runs, metric).select("run_id", "metric")
     champions = latest_versions(registry).select(

@@ -17,8 +17,9 @@ def sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
 def tag_split(
     df: DataFrame, key: str, ratio: float = SPLIT_RATIO, seed: int = SEED, output: str = "part"
 ) -> DataFrame:
-    """Adds ``train`` or ``test`` by a hash of the key, in whole percent of ``ratio``."""
-    train = hash_bucket(key, seed) < round((1 - ratio) * 100)
+    """Adds ``train`` or ``test`` by a hash of the key."""
+    buckets = 100 if round(ratio * 100, 9).is_integer() else 1_000_000
+    train = hash_bucket(key, seed, buckets) < round((1 - ratio) * buckets)
     return df.withColumn(output, F.when(train, "train").otherwise("test"))
 
 

@@ -78,15 +78,16 @@ def train_and_promote(
 ) -> TrainingResult:
     """Clean, bin, split, fit, evaluate, save, record and judge one model.
 
-    Features are fitted on the training part only, and saved with the classifier
-    as one model. Cleaned and prepared rows are written once each, so the fits
-    read a narrow table rather than repeat the cleaning.
+    Rows without a label are left out. Features are fitted on the training part only,
+    and saved with the classifier as one model. Cleaned and prepared rows are written
+    once each, so the fits read a narrow table rather than repeat the cleaning.
     """
-    save(clean.clean(source, cleaning), home.processed, partitions=partitions)
-    processed = read_table(spark, home.processed)
+    cleaned = clean.clean(source, cleaning)
+    save(cleaned, home.processed, partitions=partitions)
+    processed = read_table(spark, home.processed, schema=cleaned.schema)
     binned = with_row_key(derive.bin_columns(processed, feature.bins), feature.key)
 
-    prepared = features.prepare(binned, feature)
+    prepared = features.prepare(binned, feature).where("label IS NOT NULL")
     tagged = split.tag_split(prepared, feature.key, training.split_ratio, training.seed, "_part")
     save(tagged, home.prepared, partitions=["_part"])
     rows = read_table(spark, home.prepared)

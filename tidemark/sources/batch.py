@@ -23,9 +23,20 @@ def read_csv(
     return reader.csv(path, header=True, inferSchema=True, mode="PERMISSIVE")
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Scan a path in any batch format the session knows (parquet, orc, json, delta, ...)."""
-    return spark.read.format(fmt).options(**options).load(path)
+def read_table(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
+    **options: str,
+) -> DataFrame:
+    """Scan a path in any batch format the session knows (parquet, orc, json, delta, ...).
+
+    Give the schema when the files are partitioned by string columns: their values are
+    otherwise read as numbers where they look like numbers.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    return (reader if schema is None else reader.schema(schema)).load(path)
 
 
 def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
