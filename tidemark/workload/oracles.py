@@ -327,11 +327,12 @@ def oracles() -> dict[str, str]:
                 else "numeric"
             ]
         ),
-        "schema_report": """SELECT column_name AS name, CASE data_type WHEN 'BIGINT' THEN 'bigint'
-                WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
-                WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type,
-            is_nullable = 'YES' AS nullable, (SELECT COUNT(*) FROM lineitem) AS row_count
-            FROM information_schema.columns WHERE table_name = 'lineitem'""",
+        "schema_report": """SELECT column_name AS name, CASE WHEN column_type = 'BIGINT' THEN 'bigint'
+                WHEN column_type = 'INTEGER' THEN 'int' WHEN column_type = 'DOUBLE' THEN 'double'
+                WHEN column_type = 'VARCHAR' THEN 'string'
+                WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' END AS type,
+            "null" = 'YES' AS nullable, (SELECT COUNT(*) FROM lineitem) AS row_count
+            FROM (DESCRIBE lineitem)""",
         "dropna_subset": f"""{C360} SELECT customer_id, support_calls,
             ROUND(total_spend, 6) AS total_spend, ROUND(payment_delay, 6) AS payment_delay FROM c
             WHERE support_calls IS NOT NULL AND total_spend IS NOT NULL
