@@ -26,6 +26,7 @@ def test_corr_matrix_equals_pandas_over_several_aggregates(spark, monkeypatch):
     rng = np.random.default_rng(1)
     frame = pd.DataFrame(rng.normal(size=(60, 4)), columns=list("abcd"))
     frame["d"] = 3.0
+    frame.loc[5, "b"] = math.nan
     got = profile.corr_matrix(spark.createDataFrame(frame), list("abcd")).toPandas()
     assert len(got) == 16
     want = frame.corr()

@@ -17,7 +17,7 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def pairwise_corr(x: Column, y: Column, nulls_as_zero: bool = False) -> Column:
-    """Pearson correlation over the rows where both sides are present.
+    """Pearson correlation over the rows where both sides are present, that is not NULL or NaN.
 
     NULL when either side does not vary. ``F.corr`` divides by zero there, which
     ANSI mode turns into an error, so the quotient is formed from the moments.
@@ -26,7 +26,8 @@ def pairwise_corr(x: Column, y: Column, nulls_as_zero: bool = False) -> Column:
         a = F.coalesce(x.cast("double"), F.lit(0.0))
         b = F.coalesce(y.cast("double"), F.lit(0.0))
     else:
-        both = x.isNotNull() & y.isNotNull()
-        a = F.when(both, x.cast("double"))
-        b = F.when(both, y.cast("double"))
+        nothing = F.lit(None).cast("double")
+        left, right = (F.nanvl(side.cast("double"), nothing) for side in (x, y))
+        both = left.isNotNull() & right.isNotNull()
+        a, b = F.when(both, left), F.when(both, right)
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
