@@ -138,8 +138,10 @@ def queues(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     queue, of the queues before it, and of all. One row per source and part."""
     parts = tokens.groupBy("source", "part").agg(F.sum("n").alias("n"))
     sources = parts.groupBy("source").agg(F.sum("n").alias("tokens"))
-    all_rows = sources.agg(F.sum("tokens").alias("total"), F.max_by("source", "tokens").alias("largest"))
-    sized = sources.join(F.broadcast(all_rows))  # one row
+    # One row per source meets here, with its total; ties for the largest go to the later name.
+    every = Window.partitionBy(F.lit(0))
+    largest = F.max(F.struct("tokens", "source")).over(every)["source"]
+    sized = sources.select("*", F.sum("tokens").over(every).alias("total"), largest.alias("largest"))
     ample = F.col("tokens").cast("decimal(38,0)") * window >= F.col("total")
     rest = F.sum(F.when(~ample, F.col("tokens")).otherwise(0)).over(Window.partitionBy("total"))
     shared = F.when(rest.cast("decimal(38,0)") * window >= F.col("total"), F.lit(None)).otherwise(F.col("largest"))

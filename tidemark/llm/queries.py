@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lsa, packing, secrets, simhash, winnowing
+from tidemark.llm import chat, licenses, lsa, packing, secrets, simhash, winnowing
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,43 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    mark = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", mark), (-1, 1, "assistant", mark)], turns.schema)
+    made = chat.format_conversations(turns.unionByName(extra))
+    read = made.select(
+        "conv_id",
+        "formatted",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss_mask")).alias("loss"),
+    )
+    shown = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(shown, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    labels = F.transform("places", lambda p: p["label"])
+    base = F.array_sort(F.array_distinct(labels))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(F.transform("places", lambda p: p["at"])).alias("first_word"),
+        F.array_max(F.transform("places", lambda p: p["at"])).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, "found")), ",").alias("labels"),
+        F.greatest("score", F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.lit(0.0))).alias("score"),
+    )
