@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, licenses, lsa, packing, secrets, simhash, winnowing
+from tidemark.llm import chat, forest, licenses, lsa, packing, secrets, simhash, winnowing
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,8 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_union(base, "found")), ",").alias("labels"),
         F.greatest("score", F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.lit(0.0))).alias("score"),
     )
+
+
+@query
+def op1_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
