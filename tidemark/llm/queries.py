@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, forest, licenses, lsa, packing, secrets, simhash, winnowing
+from tidemark.llm import (
+    blocks,
+    chat,
+    forest,
+    licenses,
+    lsa,
+    packing,
+    secrets,
+    simhash,
+    suffixes,
+    winnowing,
+)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +108,13 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op3_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
