@@ -148,6 +148,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The documents that hold no window of the benchmark."""
     found = contamination(docs.select("doc_id", "text"), benchmark, window, gram)
-    found = stored(found.where("n_hit > 0").select(F.col("doc_id").alias("f_id"), F.col("text_hash").alias("f_hash")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.xxhash64("text") == F.col("f_hash"))
-    return docs.join(found, same, "left_anti")
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(stored(hit.distinct()), same, "left_anti")
