@@ -110,10 +110,16 @@ def fit(texts: list[bytes], labels: list[int], prior: float, dimensions: int = D
     if not len(raw):
         return Model(np.ones(1), np.ones((1, 1)), np.ones((0, 1)), labels, prior)
     weights = np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))).astype(np.float32) + 0.2
-    weighted = _unit(raw) * weights
-    values, vectors = np.linalg.eigh(weighted.T @ weighted)
-    space = vectors[:, ::-1][:, :dimensions].astype(np.float32)
-    return Model(weights, space, _unit(weighted @ space).astype(np.float32), labels, prior)
+    # In place, and by subspace iteration: the sample's rows are the largest thing held here.
+    raw /= np.linalg.norm(raw, axis=1, keepdims=True)
+    raw *= weights
+    space = np.random.default_rng(0).standard_normal((raw.shape[1], dimensions + 8)).astype(np.float32)
+    for _ in range(40):
+        space, _ = np.linalg.qr(raw.T @ (raw @ space))
+    small = raw @ space
+    _, turn = np.linalg.eigh(small.T @ small)
+    space = (space @ turn[:, ::-1][:, :dimensions]).astype(np.float32)
+    return Model(weights, space, _unit(raw @ space).astype(np.float32), labels, prior)
 
 
 def train(docs: DataFrame, labels: DataFrame, train_on: Column, sample: int = SAMPLE) -> Model:
