@@ -11,7 +11,7 @@ from tidemark.workload.queries import QUERIES
 SF = Path("/root/testdata/sf0.001")
 ORACLES = oracles()
 # No SQL equal: random rows, or fitted models. Checked by their own tests.
-ROWS_ONLY = {"sample_bernoulli", "split_random", "cv_scores", "feature_importance"}
+ROWS_ONLY = {"sample_bernoulli", "cv_scores", "feature_importance"}
 ROWS_ONLY |= {f"predict_{a}" for a in ("gbt", "rfc", "dtc", "lr", "svc")}
 # No row-at-a-time or batched Python, and no join without a key.
 BANNED = ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas", "MapInArrow")
@@ -36,7 +36,7 @@ def test_query_equals_sql(spark, con, name):
     assert not [b for b in BANNED if b in plan]
 
 
-@pytest.mark.parametrize("name", ["sample_bernoulli", "split_random", "cv_scores"])
+@pytest.mark.parametrize("name", ["sample_bernoulli", "cv_scores"])
 def test_rows_only_query_runs(spark, name):
     rows = QUERIES[name](spark, str(SF)).collect()
     assert name == "sample_bernoulli" or rows

@@ -42,6 +42,17 @@ def test_equal_to_the_margin_is_not_enough(spark, runs):
     assert decisions.first()["promoted"] is False
 
 
+def test_one_winner_per_name(spark, runs):
+    candidates = spark.createDataFrame(
+        [("churn", "above"), ("churn", "equal"), ("churn", "missing"), ("new", "missing"), ("new", "below")],
+        "name string, run_id string",
+    )
+    known = spark.createDataFrame([("churn", 3, "old")], registry.REGISTRY)
+    decisions = registry.promotion_decisions(candidates, runs, known, margin=0.05)
+    got = sorted(tuple(r) for r in registry.promotions(decisions).collect())
+    assert got == [("churn", 4, "above"), ("new", 1, "below")]
+
+
 def test_first_model_is_registered_even_without_metric(spark, runs):
     decisions = decide(spark, runs, [], "missing")
     assert [tuple(r) for r in registry.promotions(decisions).collect()] == [("churn", 1, "missing")]

@@ -48,55 +48,86 @@ def test_strict_mode_raises_on_repeated_keys(spark):
     assert latest_per_key(frame(spark, B), ["id"]).count() == 4
 
 
-@pytest.mark.parametrize("ratio", [0.0, 1e9])
-def test_table_equals_replaying_the_batches(spark, tmp_path, ratio):
-    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",), compact_ratio=ratio)
+@pytest.mark.parametrize("compacts", [False, True])
+def test_table_equals_replaying_the_batches(spark, tmp_path, compacts):
+    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",))
     for i, batch in enumerate((A, B, C)):
         table.apply(frame(spark, batch), i)
+        if compacts:
+            assert table.compact(spark) and not table.compact(spark)
         assert rows(table.read(spark)) == expect([A, B, C][: i + 1])
     # A replayed batch changes nothing.
     table.apply(frame(spark, C), 2)
     assert rows(table.read(spark)) == expect([A, B, C])
-    bases = table._bases(spark)
-    assert bases == ([0, 1, 2] if ratio == 0.0 else [0])
-
-
-def test_many_small_batches_are_folded(spark, tmp_path):
-    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",), compact_ratio=1e9, max_batches=1)
-    for i, batch in enumerate((A, B, C)):
-        table.apply(frame(spark, batch), i)
-    assert table._bases(spark) == [0, 2]
-    assert rows(table.read(spark)) == expect([A, B, C])
+    assert table._bases(spark) == ([0, 1, 2] if compacts else [])
 
 
 def test_uncommitted_directories_are_ignored(spark, tmp_path):
-    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",), compact_ratio=1e9)
+    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",))
     table.apply(frame(spark, A), 0)
     table.apply(frame(spark, B), 1)
-    (tmp_path / "t" / "changes" / "batch=1" / "_SUCCESS").unlink()
+    name = table._changes(spark)[1][1]
+    (tmp_path / "t" / "changes" / name / "_SUCCESS").unlink()
     assert rows(table.read(spark)) == expect([A])
     table.apply(frame(spark, B), 1)
     assert rows(table.read(spark)) == expect([A, B])
 
 
-def test_foreign_checkpoint_is_refused(spark, tmp_path):
+@pytest.mark.parametrize("ids", [(0, 0), (3, 0)])
+def test_another_stream_adds_to_the_table(spark, tmp_path, ids):
+    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",))
+    table.apply(frame(spark, A), ids[0], "one")
+    table.apply(frame(spark, B), ids[1], "two")
+    assert rows(table.read(spark)) == expect([A, B])
+
+
+def test_lost_checkpoint_loses_no_rows(spark, tmp_path):
     table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",))
-    table.apply(frame(spark, A), 3)
-    with pytest.raises(ValueError, match="another table"):
-        table.apply(frame(spark, B), 0)
+    for number, batch in enumerate((A, B)):
+        frame(spark, batch).write.parquet(str(tmp_path / f"in{number}"))
+        stream = read_file_stream(spark, str(tmp_path / f"in{number}"), schema_path=str(tmp_path / f"schema{number}"))
+        ingest_available(stream, table, str(tmp_path / f"cp{number}"))
+    assert rows(table.read(spark)) == expect([A, B])
+    assert len({stream for *_, stream in table._changes(spark)}) == 2
+
+
+def test_columns_are_checked_and_taken_up(spark, tmp_path):
+    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",))
+    table.apply(frame(spark, A), 0)
+    before = table._changes(spark)
+    for wrong in ("select 1L id, 2 seq", "select 1L id, 'x' v, 2L seq"):
+        with pytest.raises(ValueError, match="columns missing"):
+            table.apply(spark.sql(wrong), 1)
+    assert table._changes(spark) == before
+    table.apply(spark.sql("select 9L id, 'x' v, 2 seq, 'own' batch, 7 _rank, 8 _number, 9 _own"), 1)
+    got = {r["id"]: (r["v"], r["batch"], r["_rank"], r["_number"], r["_own"]) for r in table.read(spark).collect()}
+    assert got[9] == ("x", "own", 7, 8, 9) and got[1] == ("a", None, None, None, None)
+    table.compact(spark)
+    assert {r["id"] for r in table.read(spark).where("batch = 'own'").collect()} == {9}
 
 
 def test_expire_keeps_the_current_rows(spark, tmp_path):
-    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",), compact_ratio=0.0)
+    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",))
     for i, batch in enumerate((A, B, C)):
         table.apply(frame(spark, batch), i)
+        table.compact(spark)
     assert table.expire(spark)
     assert table._bases(spark) == [2]
     assert rows(table.read(spark)) == expect([A, B, C])
+    # The last batch of the stream is still known.
+    table.apply(frame(spark, C), 2)
     table.apply(frame(spark, [(1, "y", 1)]), 3)
     assert (1, "y", 1) in rows(table.read(spark))
 
 
+def test_upsert_reads_target_once_and_source_for_keys_and_rows(spark, tmp_path):
+    for name, data in (("a", A), ("b", B)):
+        frame(spark, data).write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / n)) for n in "ab")
+    plan = upsert(target, source, ["id"], ["seq"])._jdf.queryExecution().optimizedPlan()
+    assert plan.collectLeaves().size() == 3
+
+
 def test_reading_nothing_raises(spark, tmp_path):
     with pytest.raises(ValueError, match="no committed table"):
         UpsertTable(str(tmp_path / "t"), ("id",)).read(spark)
@@ -117,9 +148,9 @@ def test_stream_takes_each_drop_once(spark, tmp_path):
     frame(spark, B).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     frame(spark, C).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     assert run() == expect([A, B, C])
-    versions = (table._bases(spark), table._batches(spark))
+    versions = (table._bases(spark), table._changes(spark))
     assert run() == expect([A, B, C])
-    assert (table._bases(spark), table._batches(spark)) == versions
+    assert (table._bases(spark), table._changes(spark)) == versions
 
 
 def test_delta_merge_statement_parses(spark):
@@ -131,23 +162,6 @@ def test_delta_merge_statement_parses(spark):
     assert "MergeIntoTable" in plan.toString()
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 30])
-def test_small_changes_are_broadcast(spark, tmp_path, limit):
-    table = UpsertTable(
-        str(tmp_path / "t"), ("id",), ("seq",), compact_ratio=1e9, broadcast_bytes=limit
-    )
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        table.apply(frame(spark, A), 0)
-        table.apply(frame(spark, B), 1)
-        current = table.read(spark)
-        plan = current._jdf.queryExecution().executedPlan().toString()
-        assert ("BroadcastHashJoin" in plan) == (limit > 0)
-        assert rows(current) == expect([A, B])
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(

@@ -6,8 +6,9 @@ from tidemark.functions.columns import (
     named,
     numeric_columns,
     quoted,
+    unused,
 )
-from tidemark.functions.hashing import hash_bucket
+from tidemark.functions.hashing import hash_bucket, hash_number
 from tidemark.functions.missing import is_missing
 from tidemark.functions.numeric import guarded_ratio, pairwise_corr, percent
 
@@ -18,6 +19,7 @@ __all__ = [
     "categorical_columns",
     "guarded_ratio",
     "hash_bucket",
+    "hash_number",
     "is_missing",
     "named",
     "numeric_columns",
@@ -25,4 +27,5 @@ __all__ = [
     "percent",
     "quoted",
     "step_expression",
+    "unused",
 ]

@@ -14,6 +14,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """The name, with underscores in front until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def named(name: str) -> Column:
     """Column of exactly this name."""
     return F.col(quoted(name))

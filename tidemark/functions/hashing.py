@@ -14,6 +14,10 @@ def hash_bucket(key: str, seed: int, buckets: int = 100) -> Column:
     A recomputed or re-partitioned row always lands in the same bucket, so splits
     stay disjoint when a lost executor forces a stage to run again.
     """
+    return F.pmod(hash_number(key, seed), F.lit(buckets)).cast("int")
+
+
+def hash_number(key: str, seed: int) -> Column:
+    """The first 32 bits of ``md5(key:seed)`` as a number."""
     digest = F.md5(F.concat(named(key).cast("string"), F.lit(f":{seed}")))
-    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return F.pmod(number, F.lit(buckets)).cast("int")
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.defaults import CleanConfig
-from tidemark.functions import is_missing, named, quoted
+from tidemark.functions import is_missing, named, quoted, unused
 
 
 def drop_columns(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
@@ -63,7 +63,8 @@ def first_per_key(
     turn = F.desc if descending else F.asc
     order = [turn(quoted(c)) for c in [*order_by, *rest]]
     rank = F.row_number().over(Window.partitionBy(*[named(c) for c in key]).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    place = unused(df.columns, "_rank")
+    return df.withColumn(place, rank).where(named(place) == 1).drop(place)
 
 
 def deduplicate(

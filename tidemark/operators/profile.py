@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +17,6 @@ from tidemark.functions import (
     percent,
 )
 
-# Column pairs per aggregate. More pairs run as further aggregates over the same
-# scan, to keep generated code within the JVM's method size.
-PAIRS_PER_AGGREGATE = 120
-
-
 def _rows(df: DataFrame, rows: Sequence[Column]) -> DataFrame:
     """One aggregate over the whole table, returned as one row per given struct."""
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
@@ -146,22 +140,26 @@ def corr_with_label(
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Full correlation matrix as rows ``(x, y, r)``; each pair is computed once."""
-
-    def entry(x: str, y: str, r: Column) -> Column:
-        return F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r"))
-
-    rows = [entry(c, c, F.when(F.stddev_pop(named(c)) > 0, F.lit(1.0))) for c in columns]
-    for x, y in combinations(columns, 2):
-        r = pairwise_corr(named(x), named(y))
-        rows += [entry(x, y, r), entry(y, x, r)]
-
-    step = 2 * PAIRS_PER_AGGREGATE
-    parts = [_rows(df, rows[i : i + step]) for i in range(0, len(rows), step)]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """Full correlation matrix as rows ``(x, y, r)``, from one scan whatever the number of columns.
+
+    Each row is taken once per column, with that column's value beside all others, so one
+    grouped aggregate with a group per column holds the whole matrix.
+    """
+    places = [f"c{i}" for i in range(len(columns))]
+    narrow = df.select(*[named(c).cast("double").alias(p) for c, p in zip(columns, places)])
+    pairs = [F.struct(F.lit(i).alias("i"), F.col(p).alias("value")) for i, p in enumerate(places)]
+    moments = [pairwise_corr(F.col("value"), F.col(p)).alias(p) for p in places]
+    varies = (F.stddev_pop(F.nanvl("value", F.lit(None).cast("double"))) > 0).alias("varies")
+    grouped = narrow.select(F.inline(F.array(*pairs)), *places).groupBy("i").agg(*moments, varies)
+    names = F.array(*[F.lit(c) for c in columns])
+    own = F.when(F.col("varies"), F.lit(1.0))
+    entries = [
+        F.struct(
+            F.lit(c).alias("y"), F.when(F.col("i") == i, own).otherwise(F.col(p)).alias("r")
+        )
+        for i, (c, p) in enumerate(zip(columns, places))
+    ]
+    return grouped.select(names[F.col("i")].alias("x"), F.inline(F.array(*entries)))
 
 
 def hist_by_label(df: DataFrame, label: str, columns: Sequence[str], bins: int = 10) -> DataFrame:

@@ -40,18 +40,14 @@ def exact_quantiles(
     keys: Sequence[str],
     probabilities: Sequence[float],
     bins: int = 64,
-    few_groups: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` weighted by ``n``, as array ``quantiles``.
 
     ``counts`` holds each ``(keys, value)`` once. ``bins`` bounds the share of a
-    group's distinct values that one task sorts to about ``1 / bins``.
-
-    Say ``few_groups`` when the keys have a known small number of values: the bin
-    bounds (``bins`` numbers per group) and the wanted ranks are then broadcast, and
-    only values in wanted bins are shuffled. Otherwise Spark picks the joins.
+    group's distinct values that one task sorts to about ``1 / bins``. How the bin bounds
+    (``bins`` numbers per group) and the wanted ranks reach the values is left to Spark's
+    size statistics.
     """
-    small = F.broadcast if few_groups else (lambda frame: frame)
     cuts = [i / bins for i in range(1, bins)]
     bounds = counts.groupBy(*keys).agg(
         F.percentile_approx("value", cuts, bins * 20).alias("bounds"),
@@ -66,7 +62,7 @@ def exact_quantiles(
         left = F.col("value") <= F.col("bounds")[middle]
         return F.when(left, bin_of(low, middle)).otherwise(bin_of(middle + 1, high))
 
-    binned = counts.join(small(bounds), list(keys)).select(
+    binned = counts.join(bounds, list(keys)).select(
         *keys,
         "value",
         "n",
@@ -106,7 +102,7 @@ def exact_quantiles(
         Window.unboundedPreceding, 0
     )
     found = (
-        binned.join(small(targets), [*keys, "bin"])
+        binned.join(targets, [*keys, "bin"])
         .withColumn("next", F.col("start") + F.sum("n").over(running))
         .select(
             *keys,
@@ -141,27 +137,20 @@ def box_stats(
     df: DataFrame,
     label: str,
     columns: Sequence[str],
-    labels: Sequence = (0, 1),
     exact: bool = True,
     accuracy: int = 10_000,
 ) -> DataFrame:
     """Quartiles, whiskers and outlier count of each column for each label value.
 
     Whiskers reach the last values within 1.5 quartile ranges of the box. Rows
-    without a label are left out; a label not among ``labels`` raises, which keeps
-    the number of groups at ``len(labels) * len(columns)`` and their statistics small
-    enough to broadcast. With ``exact=False`` the quartiles come from a bounded sketch.
+    without a label are left out. With ``exact=False`` the quartiles come from a bounded sketch.
     """
-    unknown = F.raise_error(F.concat(F.lit("unexpected label: "), named(label).cast("string")))
-    expected = F.when(named(label).isin(*labels), named(label)).otherwise(
-        unknown.cast(df.schema[label].dataType)
-    )
-    labelled = df.where(named(label).isNotNull()).withColumn(label, expected)
+    labelled = df.where(named(label).isNotNull())
 
     keys = [label, "column"]
     counts = value_counts(labelled, [label], columns)
     if exact:
-        quartiles = exact_quantiles(counts, keys, (0.25, 0.5, 0.75), few_groups=True)
+        quartiles = exact_quantiles(counts, keys, (0.25, 0.5, 0.75))
     else:
         quartiles = (
             values(labelled, [label], columns)
@@ -181,7 +170,7 @@ def box_stats(
     )
     inside = F.col("value").between(F.col("fence_low"), F.col("fence_high"))
     return (
-        counts.join(F.broadcast(box), keys)
+        counts.join(box, keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),

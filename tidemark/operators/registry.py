@@ -42,7 +42,7 @@ def run_metric(runs: DataFrame, metric: str) -> DataFrame:
 
 def latest_versions(registry: DataFrame) -> DataFrame:
     """Newest version of every registered name."""
-    newest = Window.partitionBy("name").orderBy(F.desc("version"))
+    newest = Window.partitionBy("name").orderBy(F.desc("version"), "run_id")
     return (
         registry.withColumn("_rank", F.row_number().over(newest))
         .where("_rank = 1")
@@ -61,8 +61,8 @@ def promotion_decisions(
 
     A candidate is promoted when the name has no champion yet, or when its metric
     exceeds the champion's by more than the margin. A metric that is missing on
-    either side means no promotion. Each candidate is judged alone: to append the
-    result to the registry, give one candidate per name.
+    either side means no promotion. Each candidate is judged alone; ``promotions`` picks
+    the one of each name to append to the registry.
     """
     scores = run_metric(runs, metric).select("run_id", "metric")
     champions = latest_versions(registry).select(
@@ -94,15 +94,22 @@ def promotion_decisions(
 
 
 def promotions(decisions: DataFrame) -> DataFrame:
-    """Registry rows to append for promoted candidates."""
-    return decisions.where("promoted").select(
-        "name", F.col("next_version").cast("int").alias("version"), "run_id"
+    """Registry rows to append: of each name the promoted candidate with the best metric.
+
+    Equal metrics go to the smaller run id, a missing one comes last.
+    """
+    best = Window.partitionBy("name").orderBy(F.desc_nulls_last("new_metric"), "run_id")
+    return (
+        decisions.where("promoted")
+        .withColumn("place", F.row_number().over(best))
+        .where("place = 1")
+        .select("name", F.col("next_version").cast("int").alias("version"), "run_id")
     )
 
 
 def champion_model(runs: DataFrame, registry: DataFrame, name: str) -> tuple[int, str] | None:
     """Version and model uid of the current champion of a name, or None."""
-    newest = registry.where(F.col("name") == name).orderBy(F.desc("version")).limit(1)
+    newest = registry.where(F.col("name") == name).orderBy(F.desc("version"), "run_id").limit(1)
     row = (
         newest.join(runs.select("run_id", "model_uid").distinct(), "run_id")
         .select("version", "model_uid")

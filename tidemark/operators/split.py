@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.defaults import SEED, SPLIT_RATIO
-from tidemark.functions import hash_bucket
+from tidemark.functions import hash_number, unused, named
 
 
 def sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
@@ -14,12 +14,19 @@ def sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def sample_by_hash(df: DataFrame, key: str, fraction: float, seed: int = SEED) -> DataFrame:
+    """Bernoulli sample that depends on the key alone, not on how ``df`` is partitioned.
+
+    Rows with a NULL key are left out.
+    """
+    return df.where(hash_number(key, seed) < round(fraction * 2**32))
+
+
 def tag_split(
     df: DataFrame, key: str, ratio: float = SPLIT_RATIO, seed: int = SEED, output: str = "part"
 ) -> DataFrame:
-    """Adds ``train`` or ``test`` by a hash of the key."""
-    buckets = 100 if round(ratio * 100, 9).is_integer() else 1_000_000
-    train = hash_bucket(key, seed, buckets) < round((1 - ratio) * buckets)
+    """Adds ``train`` or ``test`` by a hash of the key: one rule for every ratio."""
+    train = hash_number(key, seed) < round((1 - ratio) * 2**32)
     return df.withColumn(output, F.when(train, "train").otherwise("test"))
 
 
@@ -31,10 +38,11 @@ def split_by_hash(
     A narrow filter: no sort and no shuffle, and the same parts on any cluster.
     NULL keys go to the test part.
     """
-    tagged = tag_split(df, key, ratio, seed, "_part")
+    part = unused(df.columns, "_part")
+    tagged = tag_split(df, key, ratio, seed, part)
     return (
-        tagged.where("_part = 'train'").drop("_part"),
-        tagged.where("_part = 'test'").drop("_part"),
+        tagged.where(named(part) == "train").drop(part),
+        tagged.where(named(part) == "test").drop(part),
     )
 
 

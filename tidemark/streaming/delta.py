@@ -31,8 +31,8 @@ class DeltaUpsertTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.format("delta").load(self.path)
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Absorb one batch; usable as ``foreachBatch`` callback."""
+    def apply(self, batch: DataFrame, batch_id: int, stream: str = "") -> None:
+        """Absorb one batch; merging it again changes nothing."""
         spark = batch.sparkSession
         rows = latest_per_key(batch, self.key, self.order_by)
         if exists(spark, f"{self.path}/_delta_log"):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -11,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import named
+from tidemark.functions import named, quoted, unused
 from tidemark.operators.clean import first_per_key
-from tidemark.sources.storage import delete, is_committed, list_names, size_bytes
+from tidemark.sources.storage import delete, is_committed, list_names
 
 
 def _has_key(key: Sequence[str]) -> Column:
@@ -26,42 +27,34 @@ def latest_per_key(
     """Last row of each key in the order; rows without a key are all kept.
 
     Without an order a key may occur only once, and a second row raises when the
-    result is computed.
+    result is computed. The source is read once: a row without a key gets a number of its
+    own beside the key, so such rows neither compete nor meet in one task.
     """
-    present = df.where(_has_key(key))
+    own = unused(df.columns, "_own")
+    numbered = df.withColumn(own, F.when(~_has_key(key), F.monotonically_increasing_id()))
+    keys = [*key, own]
     if order_by:
-        unique = first_per_key(present, key, order_by, descending=True)
-    else:
-        rank = F.row_number().over(
-            Window.partitionBy(*[named(k) for k in key]).orderBy(*[named(k) for k in key])
-        )
-        repeated = F.raise_error(F.lit(f"several rows for one key {list(key)} in a batch"))
-        unique = (
-            present.withColumn("_rank", rank)
-            .where("_rank <= 2")
-            .where(F.when(F.col("_rank") == 2, repeated.cast("boolean")).otherwise(F.lit(True)))
-            .drop("_rank")
-        )
-    return unique.unionByName(df.where(~_has_key(key)))
-
-
-def replace_keys(
-    target: DataFrame, fresh: DataFrame, key: Sequence[str], small: bool = False
-) -> DataFrame:
+        return first_per_key(numbered, keys, order_by, descending=True).drop(own)
+    rank = unused(numbered.columns, "_rank")
+    order = Window.partitionBy(*[named(k) for k in keys]).orderBy(*[named(k) for k in keys])
+    repeated = F.raise_error(F.lit(f"several rows for one key {list(key)} in a batch"))
+    return (
+        numbered.withColumn(rank, F.row_number().over(order))
+        .where(named(rank) <= 2)
+        .where(F.when(named(rank) == 2, repeated.cast("boolean")).otherwise(F.lit(True)))
+        .drop(rank, own)
+    )
+
+
+def replace_keys(target: DataFrame, fresh: DataFrame, key: Sequence[str]) -> DataFrame:
     """``fresh`` rows, and the target rows whose key is not among them.
 
-    NULL keys match nothing, so such rows of both sides are kept, and those of the
-    target bypass the join rather than meet in one task. With ``small`` the fresh
-    keys are broadcast, and the target is not shuffled.
+    NULL keys match nothing, so such rows of both sides are kept. How the keys reach the
+    target is left to Spark's size statistics and adaptive execution.
     """
-    keyed = target.where(_has_key(key))
-    keys = fresh.where(_has_key(key)).select(*key)
-    kept = keyed.join(F.broadcast(keys) if small else keys, list(key), "left_anti")
-    return (
-        kept.select(*target.columns)
-        .unionByName(target.where(~_has_key(key)))
-        .unionByName(fresh)
-    )
+    keys = fresh.where(_has_key(key)).select(*[named(k) for k in key])
+    kept = target.join(keys, list(key), "left_anti")
+    return kept.select(*[named(c) for c in target.columns]).unionByName(fresh)
 
 
 def upsert(
@@ -76,114 +69,111 @@ class UpsertTable:
     """A keyed table that absorbs batches without rewriting itself for each one.
 
     A batch is written once, reduced to its last row per key, as
-    ``changes/batch=<id>``. Reading takes the newest full copy ``base/v=<id>`` less
-    the keys changed since, plus the newest change of each key. When the changes
-    outgrow ``compact_ratio`` of the base, or come from more than ``max_batches``
-    batches, they are folded into a new base, so the full rewrite is paid once per
-    that much new data.
-
-    While the stored changes are no larger than ``broadcast_bytes``, their keys are
-    broadcast to the base; beyond that both sides are shuffled.
-
-    Every directory is written under the id of its batch and counts only once Spark
-    has marked it complete. A batch that is replayed after a failure writes the same
-    directories again.
+    ``changes/<number>-<batch id>-<stream>``; numbers count all batches of the table. Reading
+    takes the newest full copy ``base/<number>``, if there is one, less the keys changed
+    since, plus the newest change of each key. ``compact`` folds the changes into a new
+    full copy; it is called between batches, never from inside one.
+
+    A batch is known by its stream and its id. The same batch again, after a failure,
+    changes nothing; a batch of another stream, also of one whose checkpoint was lost, is a
+    new change. One writer at a time. A directory counts once Spark has marked it complete.
+
+    Columns that a batch adds are taken up, NULL in the rows before; a batch that lacks a
+    known column or changes its type raises before anything is written.
     """
 
     path: str
     key: tuple[str, ...]
     order_by: tuple[str, ...] = ()
-    compact_ratio: float = 0.2
-    max_batches: int = 200
-    broadcast_bytes: int = 32 * 1024 * 1024
     fmt: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
 
-    def _versions(self, spark: SparkSession, kind: str, prefix: str, after: int) -> list[int]:
-        found = []
-        for name in list_names(spark, f"{self.path}/{kind}"):
-            match = re.fullmatch(rf"{prefix}=(\d+)", name)
-            if (
-                match
-                and int(match.group(1)) > after
-                and is_committed(spark, f"{self.path}/{kind}/{name}")
-            ):
-                found.append(int(match.group(1)))
-        return sorted(found)
-
     def _bases(self, spark: SparkSession) -> list[int]:
-        return self._versions(spark, "base", "v", -1)
+        names = [n for n in list_names(spark, f"{self.path}/base") if n.isdigit()]
+        return sorted(int(n) for n in names if is_committed(spark, f"{self.path}/base/{n}"))
 
-    def _batches(self, spark: SparkSession, after: int = -1) -> list[int]:
-        return self._versions(spark, "changes", "batch", after)
+    def _changes(self, spark: SparkSession) -> list[tuple[int, str, int, str]]:
+        """``(number, name, batch id, stream)`` of the complete changes, in order."""
+        found = []
+        for name in list_names(spark, f"{self.path}/changes"):
+            match = re.fullmatch(r"(\d+)-(-?\d+)-([0-9a-f]+)", name)
+            if match and is_committed(spark, f"{self.path}/changes/{name}"):
+                found.append((int(match[1]), name, int(match[2]), match[3]))
+        return sorted(found)
 
-    def _base_path(self, version: int) -> str:
-        return f"{self.path}/base/v={version}"
+    def _base_path(self, number: int) -> str:
+        return f"{self.path}/base/{number}"
 
-    def _batch_path(self, batch: int) -> str:
-        return f"{self.path}/changes/batch={batch}"
+    def _load(self, spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
+        reader = spark.read.format(self.fmt).options(**self.options)
+        return (reader.schema(schema) if schema else reader).load(paths)
 
     def _write(self, df: DataFrame, path: str) -> None:
         df.write.format(self.fmt).options(**self.options).mode("overwrite").save(path)
 
-    def read(self, spark: SparkSession, base_before: int | None = None) -> DataFrame:
-        """Current rows; ``base_before`` ignores full copies from that batch on."""
-        bases = [v for v in self._bases(spark) if base_before is None or v < base_before]
-        if not bases:
+    def schema(self, spark: SparkSession) -> T.StructType | None:
+        """Columns of the newest part, which has all that earlier ones have; None for no table."""
+        parts = [(n, self._base_path(n)) for n in self._bases(spark)]
+        parts += [(n, f"{self.path}/changes/{name}") for n, name, _, _ in self._changes(spark)]
+        return self._load(spark, [max(parts)[1]]).schema if parts else None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Current rows."""
+        schema = self.schema(spark)
+        if schema is None:
             raise ValueError(f"no committed table at {self.path}")
-        newest = bases[-1]
-        base = spark.read.format(self.fmt).load(self._base_path(newest))
-        batches = self._batches(spark, after=newest)
-        if not batches:
-            return base
-        changes = (
-            spark.read.format(self.fmt)
-            .schema(T.StructType([*base.schema.fields, T.StructField("batch", T.LongType())]))
-            .option("basePath", f"{self.path}/changes")
-            .load([self._batch_path(b) for b in batches])
-        )
-        latest = first_per_key(
-            changes.where(_has_key(self.key)), self.key, ["batch"], descending=True
-        )
-        fresh = latest.unionByName(changes.where(~_has_key(self.key))).drop("batch")
-        size = sum(size_bytes(spark, self._batch_path(b)) for b in batches)
-        return replace_keys(base, fresh, self.key, small=size <= self.broadcast_bytes)
-
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Absorb one batch; usable as ``foreachBatch`` callback."""
+        base = max(self._bases(spark), default=None)
+        names = [name for n, name, _, _ in self._changes(spark) if base is None or n > base]
+        rows = None if base is None else self._load(spark, [self._base_path(base)], schema)
+        if not names:
+            return rows
+        changes = self._load(spark, [f"{self.path}/changes/{name}" for name in names], schema)
+        number = unused(schema.names, "_number")
+        came = F.regexp_extract("_metadata.file_path", r"/changes/(\d+)-", 1).cast("bigint")
+        fresh = latest_per_key(changes.withColumn(number, came), self.key, [number]).drop(number)
+        return fresh if rows is None else replace_keys(rows, fresh, self.key)
+
+    def _conformed(self, batch: DataFrame, known: T.StructType | None) -> DataFrame:
+        have = {f.name: f.dataType.simpleString() for f in batch.schema}
+        lost = [c for c in (*self.key, *self.order_by) if c not in have]
+        lost += [f.name for f in known or () if f.name not in have]
+        changed = [f.name for f in known or () if have.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
+        if lost or changed:
+            raise ValueError(f"batch for {self.path}: columns missing {lost}, of another type {changed}")
+        names = [f.name for f in known or ()]
+        return batch.select(*[named(c) for c in [*names, *[c for c in batch.columns if c not in names]]])
+
+    def apply(self, batch: DataFrame, batch_id: int, stream: str = "") -> None:
+        """Absorb one batch of a stream."""
         spark = batch.sparkSession
-        bases = self._bases(spark)
-        batches = self._batches(spark, after=max(bases, default=-1))
-        newest = max([*bases, *batches], default=-1)
-        if batch_id < newest:
-            raise ValueError(
-                f"batch {batch_id} is older than {newest} at {self.path}; "
-                "the checkpoint belongs to another table"
-            )
-        rows = latest_per_key(batch, self.key, self.order_by)
-        if not [v for v in bases if v < batch_id]:
-            self._write(rows, self._base_path(batch_id))
+        tag = hashlib.md5(stream.encode()).hexdigest()
+        changes = self._changes(spark)
+        if any((b, s) == (batch_id, tag) for _, _, b, s in changes):
             return
-        self._write(rows, self._batch_path(batch_id))
-        self.compact(spark, batch_id)
-
-    def compact(self, spark: SparkSession, version: int, force: bool = False) -> bool:
-        """Fold the changes up to ``version`` into a new base when they are large enough."""
-        base = [v for v in self._bases(spark) if v < version][-1]
-        batches = self._batches(spark, after=base)
-        changed = sum(size_bytes(spark, self._batch_path(b)) for b in batches)
-        limit = self.compact_ratio * size_bytes(spark, self._base_path(base))
-        if not force and changed <= limit and len(batches) <= self.max_batches:
+        rows = latest_per_key(self._conformed(batch, self.schema(spark)), self.key, self.order_by)
+        number = max([*self._bases(spark), *[n for n, *_ in changes]], default=-1) + 1
+        self._write(rows, f"{self.path}/changes/{number}-{batch_id}-{tag}")
+
+    def compact(self, spark: SparkSession) -> bool:
+        """Fold all changes into a new full copy; False when there are none since the last."""
+        newest = max((n for n, *_ in self._changes(spark)), default=-1)
+        if newest <= max(self._bases(spark), default=-1):
             return False
-        self._write(self.read(spark, base_before=version), self._base_path(version))
+        self._write(self.read(spark), self._base_path(newest))
         return True
 
     def expire(self, spark: SparkSession) -> list[str]:
         """Delete full copies older than the newest one, and the changes folded into it.
 
-        Call it between batches, when no reader still uses an older copy.
+        The last batch of each stream stays, since Spark may deliver it again. Call it
+        between batches, when no reader still uses an older copy.
         """
-        newest = self._bases(spark)[-1]
-        old = [self._base_path(v) for v in self._bases(spark) if v < newest]
-        old += [self._batch_path(b) for b in self._batches(spark) if b <= newest]
+        newest = max(self._bases(spark), default=-1)
+        last = {s: b for b, s in sorted((b, s) for _, _, b, s in self._changes(spark))}
+        old = [self._base_path(n) for n in self._bases(spark) if n < newest]
+        old += [
+            f"{self.path}/changes/{name}"
+            for n, name, b, s in self._changes(spark)
+            if n <= newest and b < last[s]
+        ]
         return [p for p in old if delete(spark, p)]

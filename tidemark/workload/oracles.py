@@ -194,7 +194,7 @@ def one_hot(column: str, rows: str, fitted_on: str, offset: str = "0", keep: str
 
 
 SPLIT_CTE = """, t AS (SELECT *, CASE WHEN
-    CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 100 < 80
+    CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT) < 3435973837
     THEN 'train' ELSE 'test' END AS part FROM c)"""
 
 
@@ -290,7 +290,7 @@ RUNS = (
                    AVG(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS metric,
                    COUNT(*) AS n FROM s GROUP BY ALL),
 reg AS (SELECT name, CAST(ROW_NUMBER() OVER (PARTITION BY name ORDER BY run_id) AS INTEGER)
-               AS version, run_id FROM r WHERE n >= 10),
+               AS version, run_id FROM r),
 latest AS (SELECT name, version, run_id FROM reg
            QUALIFY ROW_NUMBER() OVER (PARTITION BY name ORDER BY version DESC) = 1)
 """
@@ -308,6 +308,7 @@ def oracles() -> dict[str, str]:
         "write_if_absent": "SELECT c_custkey, c_mktsegment FROM customer",
         "publish_table": f"{C360} SELECT customer_id, segment, tenure, churn FROM c",
         "stream_ingest": LAST_EVENT,
+        "stream_two_checkpoints": LAST_EVENT,
         "upsert_latest": LAST_EVENT,
         "drop_columns": "SELECT c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "normalise_names": f"""{C360} SELECT customer_id AS "Customer_ID",
@@ -401,6 +402,9 @@ def oracles() -> dict[str, str]:
             ROUND(stickiness, 6) AS stickiness, ROUND(growth, 6) AS growth FROM x""",
         "engagement_score": f"""{ENGAGEMENT} SELECT segment,
             ROUND(adoption * stickiness * growth, 6) AS engagement_score FROM x""",
+        "sample_hash": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE CAST('0x' ||
+            substr(md5(CAST(o_orderkey AS VARCHAR) || ':42'), 1, 8) AS BIGINT) < 42949673""",
+        "split_random": "SELECT c_custkey, c_mktsegment, 1::BIGINT AS parts FROM customer",
         "split_hash": f"{C360} {SPLIT_CTE} SELECT customer_id, churn, part FROM t",
         "string_index": f"""{C360} SELECT customer_id, CAST(s.idx AS DOUBLE) AS segment_idx,
             CAST(r.idx AS DOUBLE) AS region_idx
@@ -421,5 +425,15 @@ def oracles() -> dict[str, str]:
             COALESCE(l.version IS NULL OR n.metric > o.metric * 1.1, FALSE) AS promoted,
             CAST(COALESCE(l.version, 0) + 1 AS INTEGER) AS next_version
             FROM r n LEFT JOIN latest l USING (name) LEFT JOIN r o ON o.run_id = l.run_id""",
+        "promote_registry": f"""{RUNS}, known AS (SELECT * FROM reg WHERE version <= 5),
+            champion AS (SELECT k.name, k.version, r.metric FROM known k JOIN r USING (run_id)
+                QUALIFY ROW_NUMBER() OVER (PARTITION BY k.name ORDER BY k.version DESC) = 1)
+            SELECT name, version, run_id FROM known UNION ALL
+            SELECT name, CAST(next_version AS INTEGER), run_id FROM (
+                SELECT r.name, COALESCE(c.version, 0) + 1 AS next_version, r.run_id,
+                    ROW_NUMBER() OVER (PARTITION BY r.name ORDER BY r.metric DESC, r.run_id) AS place
+                FROM r LEFT JOIN champion c USING (name)
+                WHERE r.run_id NOT IN (SELECT run_id FROM known)
+                  AND (c.version IS NULL OR r.metric > c.metric * 1.1)) WHERE place = 1""",
         "latest_champion": f"{RUNS} SELECT name, version, run_id FROM latest",
     }

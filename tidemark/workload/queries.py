@@ -147,6 +147,20 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingested.read(spark).select(*EVENT_COLUMNS)
 
 
+@query
+def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each half of the events through a stream of its own, into one table."""
+    home = workspace(spark)
+    ingested = UpsertTable(f"{home}/table", key=("user_id",), order_by=("ts", "event_id"))
+    for number, drop in enumerate(split_events(spark, sf_dir)):
+        drop.write.parquet(f"{home}/arrivals{number}")
+        arriving = read_file_stream(
+            spark, f"{home}/arrivals{number}", schema_path=f"{home}/schema{number}"
+        )
+        ingest_available(arriving, ingested, f"{home}/checkpoint{number}")
+    return ingested.read(spark).select(*EVENT_COLUMNS)
+
+
 @query
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = split_events(spark, sf_dir)
@@ -428,6 +442,12 @@ def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.sample(orders, 0.01, SEED)
 
 
+@query
+def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return split.sample_by_hash(orders, "o_orderkey", 0.01)
+
+
 @query
 def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = customer_360(spark, sf_dir).select("customer_id", "churn")
@@ -438,9 +458,9 @@ def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     train, test = split.split_random(customers)
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
-    )
+    # Each customer is in one part: the parts together are the input.
+    both = train.unionByName(test)
+    return both.groupBy("c_custkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("parts"))
 
 
 # Features
@@ -597,9 +617,8 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _registry(runs: DataFrame) -> DataFrame:
-    """Runs on at least ten rows, registered per language in order of their id."""
-    large = registry.run_metric(runs, "rows").where("metric >= 10")
-    named_runs = large.select(F.split("run_id", "/")[0].alias("name"), "run_id")
+    """All runs, registered per language in order of their id."""
+    named_runs = registry.run_metric(runs, "rows").select(F.split("run_id", "/")[0].alias("name"), "run_id")
     version = F.row_number().over(Window.partitionBy("name").orderBy("run_id"))
     return named_runs.select("name", version.alias("version"), "run_id")
 
@@ -613,6 +632,19 @@ def promote_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(registry.promotion_decisions(candidates, runs, _registry(runs)))
 
 
+@query
+def promote_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry after promotion: five runs of each name are known, the others are candidates."""
+    runs = _runs(spark, sf_dir)
+    known = _registry(runs).where("version <= 5")
+    candidates = registry.run_metric(runs, "accuracy").select(
+        F.split("run_id", "/")[0].alias("name"), "run_id"
+    )
+    candidates = candidates.join(known.select("run_id"), "run_id", "left_anti")
+    decisions = registry.promotion_decisions(candidates, runs, known)
+    return known.unionByName(registry.promotions(decisions))
+
+
 @query
 def latest_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.latest_versions(_registry(_runs(spark, sf_dir)))

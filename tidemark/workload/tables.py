@@ -110,4 +110,5 @@ def split_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """Events of the first and of the second half of the covered time."""
     events = table(spark, sf_dir, "events")
     middle = events.agg(F.expr("min(ts) + (max(ts) - min(ts)) / 2")).scalar()
-    return events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)
+    late = F.coalesce(F.col("ts") >= middle, F.lit(False))
+    return events.where(~late), events.where(late)
