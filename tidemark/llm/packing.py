@@ -18,7 +18,6 @@ token only. Every row is packed, also if ids repeat or are null.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,13 +36,16 @@ WINDOW = 16 * SEQUENCE
 END = 2
 VOCABULARY = "word_bpe_49k.json"
 # Most distinct words whose tokens a task remembers; then it starts anew.
-WORDS = 600_000
+WORDS = 1_200_000
 
 # How the vocabulary's own rules split a text, and what its words end with.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 
+# Control characters, and what some take for space.
+ODD = bytes([*range(9), 11, 12, *range(14, 32), *range(127, 161)])
+
 
 class WordTokens:
     """Token ids of whole texts, each distinct word encoded once.
@@ -63,25 +65,23 @@ class WordTokens:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith(WORD_END)]] = True
         self.words = regex.compile(WORD)
-        self.odd = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0]|" + "|".join(map(re.escape, SPECIAL)))
+        # Of words, and of whatever stands between two spaces.
         self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def _plain(self, text: str) -> bool:
         try:
-            text.encode("latin-1")
+            latin = text.encode("latin-1")
         except UnicodeEncodeError:
             return False
-        return not self.odd.search(text)
+        return len(latin.translate(None, ODD)) == len(latin) and not any(s in text for s in SPECIAL)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.words.findall(t.lower()) if self._plain(t) else None for t in texts]
-        new = list({w for words in plain if words for w in words if w not in self.known})
-        if len(self.known) + len(new) > WORDS:
-            self.known.clear()
-            new = list({w for words in plain if words for w in words})
+    def _learn(self, chunks: list[str]) -> None:
+        parts = {chunk: self.words.findall(chunk) for chunk in chunks}
+        new = list({w for words in parts.values() for w in words if w not in self.known})
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
             ids = np.frombuffer(self.whole(" ".join(some)), dtype="<u2")
@@ -91,10 +91,22 @@ class WordTokens:
                     self.known[word] = ids[a:b].tobytes()
             else:
                 self.known.update((word, self.whole(word)) for word in some)
-        known = self.known
+        for chunk, words in parts.items():
+            self.chunks[chunk] = b"".join([self.known[w] for w in words])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [t.lower().split() if self._plain(t) else None for t in texts]
+        used = set().union(*[c for c in cut if c])
+        new = [c for c in used if c not in self.chunks]
+        if len(self.chunks) + len(new) > WORDS:
+            self.known.clear()
+            self.chunks.clear()
+            new = list(used)
+        self._learn(new)
+        known = self.chunks
         return [
-            b"".join([known[w] for w in words]) if words is not None else self.whole(t)
-            for t, words in zip(texts, plain)
+            b"".join([known[c] for c in chunks]) if chunks is not None else self.whole(t)
+            for t, chunks in zip(texts, cut)
         ]
 
 
