@@ -82,13 +82,13 @@ def test_publish_twice(spark, tmp_path):
     spark.sql("DROP TABLE tm_test_table")
 
 
-def test_stream_schema_is_kept(spark, tmp_path):
+def test_stream_schema_is_kept_and_extended(spark, tmp_path):
     data, schema = str(tmp_path / "in"), str(tmp_path / "schema")
     spark.range(3).write.parquet(data)
     first = files_stream.read_file_stream(spark, data, schema_path=schema)
     spark.range(3).selectExpr("cast(id as string) as other").write.mode("append").parquet(data)
     again = files_stream.read_file_stream(spark, data, schema_path=schema)
-    assert first.isStreaming and first.schema == again.schema
+    assert first.isStreaming and first.schema.names == ["id"] and again.schema.names == ["id", "other"]
     with pytest.raises(ValueError):
         files_stream.read_file_stream(spark, data)
 
@@ -107,3 +107,17 @@ def test_workspace_follows_the_session_setting(spark):
     first, second = storage.workspace(spark), storage.workspace(spark)
     assert first != second
     assert root is None or first.startswith(root)
+
+
+def test_schema_takes_up_columns_and_refuses_other_types(spark, tmp_path):
+    from tidemark.sources.files_stream import resolve_schema
+
+    files, kept = str(tmp_path / "in"), str(tmp_path / "schema")
+    spark.sql("select 1 a").write.parquet(files)
+    assert resolve_schema(spark, files, "parquet", kept).names == ["a"]
+    spark.sql("select 2 a, 'x' b").write.mode("append").parquet(files)
+    assert resolve_schema(spark, files, "parquet", kept).names == ["a", "b"]
+    assert resolve_schema(spark, files, "parquet", kept).names == ["a", "b"]
+    spark.sql("select 'text' a").write.mode("overwrite").parquet(files)
+    with pytest.raises(ValueError, match="another type"):
+        resolve_schema(spark, files, "parquet", kept)

@@ -63,10 +63,13 @@ def test_boolean_columns_are_numbers(spark):
     assert features.prepare(df, FeatureConfig(key="id", label=None)).first()["b"] == 1.0
 
 
-def test_too_many_categories_raise(spark):
-    df = spark.range(100).selectExpr("cast(id as string) as g")
-    with pytest.raises(ValueError, match="too many categories"):
-        features.string_index(df, ["g"], limit=50)
+def test_any_number_of_categories(spark):
+    df = spark.range(20_000).selectExpr("concat('v', id) as g", "id % 7 as k", "1 as _value", "2 as _idx")
+    got = features.string_index(df, ["g"])
+    assert got.columns == ["g", "k", "_value", "_idx", "g_idx"]
+    assert sorted(r[0] for r in got.select("g_idx").collect()) == list(range(20_000))
+    slots = features.one_hot_slots(df.selectExpr("cast(k as string) k", "g"), ["k", "g"], ["g"])
+    assert slots.where("column = 'g'").agg({"slot": "max"}).first()[0] == 20_006
 
 
 def test_string_index_breaks_ties_by_name(spark):

@@ -70,7 +70,6 @@ class FeatureConfig:
     bins: tuple[BinSpec, ...] = ()
     exclude: tuple[str, ...] = ()
     nulls: str = "impute"
-    max_categories: int = 10_000
 
 
 @dataclass(frozen=True)

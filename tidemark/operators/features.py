@@ -13,40 +13,77 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.defaults import FeatureConfig
-from tidemark.functions import categorical_columns, named, numeric_columns
+from tidemark.functions import categorical_columns, named, numeric_columns, unused
 from tidemark.operators.clean import drop_missing_rows
+from tidemark.sources.storage import workspace
 
 RAW = "features_raw"
 FEATURES = "features"
 
 
-def check_categories(df: DataFrame, columns: Sequence[str], limit: int) -> None:
-    """Raise when a column has clearly more values than an indexer should hold.
+def frequency_index(df: DataFrame, column: str) -> DataFrame:
+    """``(value, idx)``: each value's place by frequency, ties by name, counted from 0.
 
-    The fitted vocabulary lives on the driver and in every task. The check is one
-    pass with a fixed-size sketch per column.
+    The values are counted, sorted over all tasks and numbered part by part, so there
+    may be any number of them. They are written once, which fixes the order.
     """
-    if not columns:
-        return
-    counts = df.agg(*[F.approx_count_distinct(named(c)).alias(c) for c in columns]).first()
-    wide = {c: counts[c] for c in columns if counts[c] > limit}
-    if wide:
-        raise ValueError(f"too many categories to index (limit {limit}): {wide}")
+    counts = (
+        df.where(named(column).isNotNull())
+        .groupBy(named(column).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    order = [F.desc("n"), F.asc("value")]
+    # The id holds the part in its upper bits and the place within it in the lower 33.
+    placed = counts.repartitionByRange(*order).sortWithinPartitions(*order)
+    path = workspace(df.sparkSession)
+    placed.select("value", F.monotonically_increasing_id().alias("id")).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path).select(
+        "value", F.shiftright("id", 33).alias("part"), F.col("id").bitwiseAND(2**33 - 1).alias("place")
+    )
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per part of the sort.
+    parts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return rows.join(parts, "part").select("value", (F.col("before") + F.col("place")).alias("idx"))
+
 
+def string_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Adds ``<column>_idx``: place by frequency, ties by name; NULL gets the next index after all.
+
+    The index is a table joined to the rows, not a vocabulary on the driver.
+    """
+    for column in columns:
+        index = frequency_index(df, column)
+        values, idx = (unused(df.columns, n) for n in ("_value", "_idx"))
+        index = index.select(F.col("value").alias(values), F.col("idx").cast("double").alias(idx))
+        after = index.agg(F.count(F.lit(1)).cast("double")).scalar()
+        joined = df.join(index, named(column) == named(values), "left")
+        df = joined.withColumn(f"{column}_idx", F.coalesce(named(idx), after)).drop(values, idx)
+    return df
 
-def string_index(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> DataFrame:
-    """Adds ``<column>_idx``: place by frequency, ties by name; NULL gets an extra index."""
-    check_categories(df, columns, limit)
-    return _indexer(columns).fit(df).transform(df)
 
+def one_hot_slots(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``(keep, column, slot)``: the one slot set for each row and column, whatever their number.
 
-def one_hot(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> DataFrame:
+    Slots count on from column to column; a NULL sets none.
+    """
+    start, rows = F.lit(0).cast("bigint"), None
+    for column in columns:
+        index = frequency_index(df, column).withColumnRenamed("value", "_value")
+        slots = df.join(index, named(column) == F.col("_value")).select(
+            *[named(k) for k in keep], F.lit(column).alias("column"), (F.col("idx") + start).alias("slot")
+        )
+        rows = slots if rows is None else rows.unionByName(slots)
+        start = start + index.agg(F.count(F.lit(1))).scalar()
+    return rows
+
+
+def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Adds ``<column>_vec``; a value not seen in fitting is all zeros."""
-    check_categories(df, columns, limit)
     return Pipeline(stages=[_indexer(columns), _encoder(columns)]).fit(df).transform(df)
 
 
@@ -121,7 +158,6 @@ def feature_stages(
 def fit_features(df: DataFrame, config: FeatureConfig) -> PipelineModel:
     """Fit the feature stages on prepared training rows."""
     categories, numbers = feature_columns(df, config)
-    check_categories(df, categories, config.max_categories)
     return Pipeline(stages=feature_stages(categories, numbers, config.nulls)).fit(df)
 
 

@@ -138,5 +138,4 @@ def prepared_config(feature: FeatureConfig) -> FeatureConfig:
         key=feature.key,
         label="label",
         nulls=feature.nulls,
-        max_categories=feature.max_categories,
     )

@@ -27,13 +27,21 @@ def store_schema(spark: SparkSession, schema: T.StructType, schema_path: str) ->
 def resolve_schema(
     spark: SparkSession, path: str, fmt: str, schema_path: str, **options: str
 ) -> T.StructType:
-    """Kept schema if there is one; else inferred from the files present and kept."""
+    """Kept schema, with the columns that files present have beyond it; the result is kept.
+
+    A column whose type has changed raises.
+    """
     kept = stored_schema(spark, schema_path)
-    if kept is not None:
-        return kept
-    inferred = spark.read.format(fmt).options(**options).load(path).schema
-    store_schema(spark, inferred, schema_path)
-    return inferred
+    merged = {"mergeSchema": "true"} if fmt in ("parquet", "orc") else {}
+    found = spark.read.format(fmt).options(**{**merged, **options}).load(path).schema
+    known = {f.name: f.dataType for f in kept or ()}
+    changed = [f.name for f in found if f.name in known and f.dataType != known[f.name]]
+    if changed:
+        raise ValueError(f"columns of files below {path} have another type: {changed}")
+    schema = T.StructType([*(kept or ()), *[f for f in found if f.name not in known]])
+    if schema != kept:
+        store_schema(spark, schema, schema_path)
+    return schema
 
 
 def read_file_stream(
@@ -48,7 +56,7 @@ def read_file_stream(
     """Stream the files that arrive below ``path``.
 
     Give a schema, or a ``schema_path`` where the inferred one is kept for later
-    runs. ``max_files_per_batch`` cuts a large backlog into several batches.
+    runs, which add columns that have appeared. ``max_files_per_batch`` cuts a large backlog into several batches.
     """
     if schema is None:
         if schema_path is None:

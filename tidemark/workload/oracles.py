@@ -309,6 +309,10 @@ def oracles() -> dict[str, str]:
         "publish_table": f"{C360} SELECT customer_id, segment, tenure, churn FROM c",
         "stream_ingest": LAST_EVENT,
         "stream_two_checkpoints": LAST_EVENT,
+        "stream_new_column": """SELECT user_id, event_id, event_type, CASE WHEN ts >=
+            (SELECT MIN(ts) + (MAX(ts) - MIN(ts)) / 2 FROM events) THEN value END AS value
+            FROM events QUALIFY ROW_NUMBER() OVER (
+                PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
         "upsert_latest": LAST_EVENT,
         "drop_columns": "SELECT c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "normalise_names": f"""{C360} SELECT customer_id AS "Customer_ID",
@@ -410,10 +414,26 @@ def oracles() -> dict[str, str]:
             CAST(r.idx AS DOUBLE) AS region_idx
             FROM c JOIN {index_of("segment", "c")} s USING (segment)
             JOIN {index_of("region", "c")} r USING (region)""",
+        "string_index_wide": """SELECT o_orderkey, CAST(ROW_NUMBER() OVER (
+            ORDER BY CAST(o_orderkey AS VARCHAR)) - 1 AS DOUBLE) AS text_idx FROM orders""",
+        "one_hot_wide": """WITH o AS (SELECT o_orderkey, o_orderstatus AS s,
+                CAST(o_custkey AS VARCHAR) AS c FROM orders),
+            si AS (SELECT s, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, s) - 1 AS idx
+                FROM o WHERE s IS NOT NULL GROUP BY s),
+            ci AS (SELECT c, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, c) - 1 AS idx
+                FROM o WHERE c IS NOT NULL GROUP BY c)
+            SELECT o_orderkey, 'o_orderstatus' AS "column", si.idx AS slot FROM o JOIN si USING (s)
+            UNION ALL SELECT o_orderkey, 'customer', ci.idx + (SELECT COUNT(*) FROM si)
+            FROM o JOIN ci USING (c)""",
         "one_hot": C360 + one_hot("segment", "c", "c"),
         "assemble": assemble(),
         "standard_scale": standard_scale(),
         "ml_features": ml_features(),
+        **{
+            f"predict_{a}": f"""{C360} {SPLIT_CTE} SELECT customer_id,
+                CAST(churn AS DOUBLE) AS label, TRUE AS valid FROM t WHERE part = 'test'"""
+            for a in ("gbt", "rfc", "dtc", "lr", "svc")
+        },
         "predict_nb": naive_bayes("part = 'test'"),
         "batch_predict": naive_bayes("TRUE"),
         "confusion_matrix": f"""{SCORED} SELECT label, COUNT(*) FILTER (WHERE prediction = 0)

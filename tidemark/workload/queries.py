@@ -161,6 +161,19 @@ def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingested.read(spark).select(*EVENT_COLUMNS)
 
 
+@query
+def stream_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second drop brings a column that the first lacks."""
+    home = workspace(spark)
+    ingested = UpsertTable(f"{home}/table", key=("user_id",), order_by=("ts", "event_id"))
+    first, second = split_events(spark, sf_dir)
+    for drop in (first.drop("value"), second):
+        drop.write.mode("append").parquet(f"{home}/arrivals")
+        arriving = read_file_stream(spark, f"{home}/arrivals", schema_path=f"{home}/schema")
+        ingest_available(arriving, ingested, f"{home}/checkpoint")
+    return ingested.read(spark).select(*EVENT_COLUMNS)
+
+
 @query
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = split_events(spark, sf_dir)
@@ -473,6 +486,24 @@ def string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexed.select("customer_id", *[f"{c}_idx" for c in CATEGORIES])
 
 
+@query
+def string_index_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    rows = staged(orders.select("o_orderkey", F.col("o_orderkey").cast("string").alias("text")))
+    return features.string_index(rows, ["text"]).select("o_orderkey", "text_idx")
+
+
+@query
+def one_hot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    rows = staged(
+        orders.select(
+            "o_orderkey", "o_orderstatus", F.col("o_custkey").cast("string").alias("customer")
+        )
+    )
+    return features.one_hot_slots(rows, ["o_orderstatus", "customer"], ["o_orderkey"])
+
+
 @query
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged(customer_360(spark, sf_dir).select("customer_id", "segment"))
@@ -535,7 +566,11 @@ def _predict_with(algorithm: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         fitted, model, _, test = _train(spark, sf_dir, algorithm)
         scored = models.predict(model, fitted.transform(test))
-        return scored.select("customer_id", "label", "prediction")
+        if algorithm == "nb":
+            return scored.select("customer_id", "label", "prediction")
+        # What SQL can state of a searched or iterated fit: a class for every row of the part.
+        valid = F.col("prediction").isin(0.0, 1.0).alias("valid")
+        return scored.select("customer_id", "label", valid)
 
     return run
 
