@@ -121,3 +121,14 @@ def test_schema_takes_up_columns_and_refuses_other_types(spark, tmp_path):
     spark.sql("select 'text' a").write.mode("overwrite").parquet(files)
     with pytest.raises(ValueError, match="another type"):
         resolve_schema(spark, files, "parquet", kept)
+
+
+def test_publishing_refuses_a_managed_table(spark, tmp_path):
+    from tidemark.sinks.batch import publish_location
+
+    spark.range(2).write.mode("overwrite").saveAsTable("tidemark_managed")
+    try:
+        with pytest.raises(ValueError, match="managed"):
+            publish_location(spark, "tidemark_managed", str(tmp_path))
+    finally:
+        spark.sql("DROP TABLE tidemark_managed")

@@ -52,3 +52,10 @@ def test_profiles_scan_each_table_once(spark, name):
 @pytest.mark.parametrize("name", ["rate_by_category", "churn_panels"])
 def test_several_categories_share_one_scan(spark, name):
     assert plan_of(QUERIES[name](spark, SF)).count("/orders.parquet") == 1
+
+
+def test_engagement_branches_share_scans_of_the_log(spark):
+    result = QUERIES["engagement_inputs"](spark, SF)
+    result.collect()
+    plan = plan_of(result).split("Initial Plan")[0]
+    assert plan.count("/events.parquet") <= 2

@@ -25,15 +25,16 @@ def engagement_inputs(
     - growth: user-days that start a streak of active days over user-days that
       were followed by a day of absence; a zero divisor counts as 1
 
-    Events are reduced to distinct (user, day) and (user, type) pairs before any
-    user-keyed shuffle, so a user's share of the log does not matter afterwards:
-    no user has more rows than there are days or types.
+    Events are reduced once to distinct (user, day, type) rows, from which everything
+    else follows: the branches share that one scan and its exchange, and a user's share
+    of the log does not matter afterwards.
     """
     log = events.select(
         named(user).alias("user"),
         F.to_date(named(timestamp)).alias("day"),
         named(event_type).alias("type"),
     ).where(F.col("user").isNotNull())
+    log = log.distinct()
     members = segments.select(named(user).alias("user"), named(segment).alias(segment))
 
     type_total = log.agg(F.count_distinct("type")).scalar()
@@ -70,8 +71,9 @@ def engagement_inputs(
         guarded_ratio(F.sum("started"), F.sum("left")).alias("growth"),
     )
     by_week = (
-        streaks.select(named(segment), "user", F.date_trunc("week", "day").alias("week"))
+        user_days.select("user", F.date_trunc("week", "day").alias("week"))
         .distinct()
+        .join(members, "user")
         .groupBy(named(segment), "week")
         .agg(F.count(F.lit(1)).alias("users"))
         .groupBy(named(segment))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
-from tidemark.functions import named
+from tidemark.functions import named, quoted
 
 
 def _layout(df: DataFrame, partitions: Sequence[str], repartition: int | None) -> DataFrame:
@@ -84,5 +84,7 @@ def publish_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") ->
 
 def publish_location(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
     """Publish files already at ``path`` as a catalog table, without copying them."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "MANAGED":
+        raise ValueError(f"{name} is a managed table; dropping it would delete its files")
+    spark.sql(f"DROP TABLE IF EXISTS {'.'.join(quoted(part) for part in name.split('.'))}")
     spark.catalog.createTable(name, path=path, source=fmt)
