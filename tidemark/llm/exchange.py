@@ -85,6 +85,12 @@ def batches(docs: DataFrame) -> DataFrame:
     return stored(taken.mapInArrow(run, "batch long, ids array<long>, sizes array<long>, blob binary"))
 
 
+def _each(rows: pa.RecordBatch) -> Iterator[dict]:
+    """One row after another as Python values, so that one batch of texts is open at a time."""
+    for i in range(rows.num_rows):
+        yield rows.slice(i, 1).to_pylist()[0]
+
+
 def _open(row: dict) -> Texts:
     raw = zstandard.ZstdDecompressor().decompress(row["blob"], max_output_size=max(1, sum(row["sizes"])))
     cuts = np.concatenate(([0], np.cumsum(row["sizes"], dtype=np.int64))).tolist()
@@ -125,7 +131,7 @@ def asked(
 
     def send(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in incoming:
-            for row in rows.to_pylist():
+            for row in _each(rows):
                 hashes, more = make(_open(row), *_told(row))
                 if not len(hashes):
                     continue
@@ -176,7 +182,7 @@ def finished(held: DataFrame, result: Callable[..., pa.RecordBatch], schema: str
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in incoming:
-            for row in rows.to_pylist():
+            for row in _each(rows):
                 yield result(_open(row), *_told(row))
 
     return held.mapInArrow(run, schema)
