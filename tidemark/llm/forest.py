@@ -45,8 +45,9 @@ SEED = 17
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, v)``: the vectors that take part, as doubles."""
-    v = F.col("embedding").cast("array<double>")
+    """``(vec_id, v)``: the vectors that take part; floats stay as they are, all else becomes double."""
+    floats = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    v = F.col("embedding") if floats else F.col("embedding").cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)
@@ -91,7 +92,7 @@ def neighbours(
     # An entry for each distinct vector: no query needs more than k + 1 of its ids.
     ranked = rows.withColumn("at", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("at") <= k + 1)
     entries = ranked.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
     entries = stored(entries.select("v", "ids", F.col("ids")[0].alias("entry"), norm.alias("norm")))
     asked = stored(rows.where(is_query).join(entries.select("v", "entry"), "v").select(F.col("vec_id").alias("query_id"), "entry"))
     n, longest = entries.agg(F.count(F.lit(1)), F.max("norm")).first()
@@ -107,31 +108,33 @@ def neighbours(
             for rows in batches:
                 if not len(rows):
                     continue
-                x = np.stack(rows["v"].to_numpy())
+                x = np.stack(rows["v"].to_numpy()).astype(float)
                 length = rows["norm"].to_numpy()
                 rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(longest**2 - length**2, 0))
                 strings = _strings(np.column_stack((x, rest)).astype(np.float32), normals, trees, bits)
                 kept = rows[["entry", "v"]] if query else rows[["entry", "ids", "v"]]
                 yield kept.assign(strings=list(strings))
 
-        kinds = "entry long, v array<double>" if query else "entry long, ids array<long>, v array<double>"
+        v = f"v {entries.schema['v'].dataType.simpleString()}"
+        kinds = f"entry long, {v}" if query else f"entry long, ids array<long>, {v}"
         made = frame.mapInPandas(run, f"{kinds}, strings array<long>")
         return made.select("*", F.posexplode("strings").alias("tree", "string")).drop("strings")
 
     cut = F.shiftright("string", bits - depth) if depth else F.lit(0).cast("long")
-    points = hashed(entries, False).withColumn("cut", cut)
+    points = stored(hashed(entries, False).withColumn("cut", cut))
     seekers = asked.select("entry").distinct().join(entries.select("entry", "v", "norm"), "entry")
     seekers = stored(hashed(seekers, True).withColumn("cut", cut))
-    sizes = hashed(entries.select("entry", "v", "norm", "ids"), False).select("tree", cut.alias("cut")).groupBy("tree", "cut").count()
+    sizes = points.groupBy("tree", "cut").count()
     sizes = stored(sizes.withColumn("blocks", F.ceil(F.col("count") / block).cast("int")))
-    places = stored(
+    places = (
         points.join(sizes.select("tree", "cut", "blocks"), ["tree", "cut"])
         .withColumn("block", F.pmod(F.xxhash64("entry"), "blocks").cast("int"))
         .drop("blocks")
     )
 
     # Levels up to the cuts are counted from the cuts' sizes, deeper ones in the blocks.
-    deeper = _meet(places, seekers, sizes, block, lambda p, q: _counts(p, q, bits, depth), "entry long, level int, n long", [])
+    strings = places.select("tree", "cut", "block", "string")
+    deeper = _meet(strings, seekers, sizes, block, lambda p, q: _counts(p, q, bits, depth), "entry long, level int, n long", [])
     above = _counts_above(seekers, sizes, depth)
     found = deeper.unionByName(above).groupBy("entry", "level").agg(F.sum("n").alias("n"))
     stops = found.where(F.col("n") >= wanted).groupBy("entry").agg(F.max("level").alias("level"))
@@ -145,7 +148,7 @@ def neighbours(
     low = low.withColumn("span", span).withColumn("cut", F.explode(under)).drop("span")
     visiting = visiting.where(F.col("level") >= depth).unionByName(low.select(visiting.columns))
     near = _meet(
-        places, visiting, sizes, block, lambda p, q: _nearest(p, q, bits, k + 1), "entry long, found array<struct<id:long,score:double>>", ["level"]
+        places, visiting, sizes, block, lambda p, q: _nearest(p, q, bits, k + 1), "entry long, found array<struct<id:long,score:double>>", ["v", "level"]
     )
     # A block returns k + 1 ids a query at most; the best of all blocks and trees are taken per query.
     pairs = near.select("entry", F.explode("found").alias("f")).select("entry", F.col("f.id").alias("vec_id"), F.col("f.score").alias("score"))
@@ -166,7 +169,7 @@ def _meet(places: DataFrame, seekers: DataFrame, sizes: DataFrame, block: int, w
     key = ["tree", "cut", "block", "part"]
     at = seekers.join(sizes.select("tree", "cut", "blocks"), ["tree", "cut"]).join(asking, ["tree", "cut"])
     at = at.select(
-        "tree", "cut", "entry", "v", "string", *extra,
+        "tree", "cut", "entry", "string", *extra,
         F.pmod(F.xxhash64("entry", F.lit(1)), "parts").cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
     )
@@ -214,7 +217,7 @@ def _nearest(p: pd.DataFrame, q: pd.DataFrame, bits: int, k: int) -> pd.DataFram
     if not len(p) or not len(q):
         return pd.DataFrame({"entry": [], "found": []})
     p = p.sort_values(["string", "entry"])
-    x, strings, ids = np.stack(p["v"].to_numpy()), p["string"].to_numpy(dtype=np.int64), p["ids"].to_numpy()
+    x, strings, ids = np.stack(p["v"].to_numpy()).astype(float), p["string"].to_numpy(dtype=np.int64), p["ids"].to_numpy()
     out = []
     for level, rows in q.groupby("level"):
         asked = rows["string"].to_numpy(dtype=np.int64)
@@ -224,7 +227,7 @@ def _nearest(p: pd.DataFrame, q: pd.DataFrame, bits: int, k: int) -> pd.DataFram
             if hi <= lo:
                 continue
             some = rows.iloc[at]
-            scores = np.stack(some["v"].to_numpy()) @ x[lo:hi].T
+            scores = np.stack(some["v"].to_numpy()).astype(float) @ x[lo:hi].T
             top = min(k, hi - lo)
             for entry, line in zip(some["entry"], scores):
                 # All that tie with the last one stay, so that ties go to smaller ids.

@@ -55,7 +55,7 @@ _RANK = {word: rank for rank, word in enumerate(WORDS, start=2)}
 _LONGEST = max(map(len, WORDS))
 _WALKS = {row[i : i + 3] for line in ROWS for row in (line, line[::-1]) for i in range(len(row) - 2)}
 _DATE = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d|(?:19|20)\d\d")
-_REPEAT = re.compile(r"(.{1,8}?)\1+")
+_REPEAT = re.compile(r"(.{1,8}?)\1{1,63}", re.S)
 
 
 def _brute(c: str) -> float:
