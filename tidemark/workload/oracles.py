@@ -435,6 +435,8 @@ def oracles() -> dict[str, str]:
             for a in ("gbt", "rfc", "dtc", "lr", "svc")
         },
         "predict_nb": naive_bayes("part = 'test'"),
+        "train_promote": "SELECT 'churn' AS name, 1 AS version",
+        "score_champion": f"SELECT customer_id, prediction FROM ({naive_bayes('TRUE')})",
         "batch_predict": naive_bayes("TRUE"),
         "confusion_matrix": f"""{SCORED} SELECT label, COUNT(*) FILTER (WHERE prediction = 0)
             AS pred_0, COUNT(*) FILTER (WHERE prediction = 1) AS pred_1 FROM s GROUP BY label""",

@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.defaults import AGE_BINS, SEED, TENURE_BINS, CleanConfig, FeatureConfig
+from tidemark.defaults import (
+    AGE_BINS,
+    SEED,
+    TENURE_BINS,
+    CleanConfig,
+    FeatureConfig,
+    TrainConfig,
+)
 from tidemark.functions import BinSpec
 from tidemark.operators import (
     clean,
@@ -22,6 +29,7 @@ from tidemark.operators import (
     registry,
     split,
 )
+from tidemark.plans import Home, score_with_champion, train_and_promote
 from tidemark.sinks import publish_table, save, save_counted, save_if_absent
 from tidemark.sources.batch import read_catalog_table, read_csv, read_table
 from tidemark.sources.files_stream import read_file_stream
@@ -590,6 +598,33 @@ def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("customer_id", "label", "prediction")
 
 
+def _trained_home(spark: SparkSession, sf_dir: str, runs: int) -> Home:
+    home = Home(workspace(spark))
+    customers = customer_360(spark, sf_dir)
+    for _ in range(runs):
+        train_and_promote(
+            spark, customers, home, "churn", CleanConfig(), FEATURES, TrainConfig("nb")
+        )
+    return home
+
+
+@query
+def train_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry after two equal runs of the training flow: the second is no improvement."""
+    home = _trained_home(spark, sf_dir, 2)
+    versions = home.table(spark, home.registry, registry.REGISTRY)
+    logged = home.table(spark, home.runs, registry.RUNS).select("run_id").distinct()
+    return versions.join(logged, "run_id").select("name", "version")
+
+
+@query
+def score_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers, without their label, scored by the inference flow."""
+    home = _trained_home(spark, sf_dir, 1)
+    unlabelled = customer_360(spark, sf_dir).drop("churn")
+    return score_with_champion(spark, unlabelled, home, "churn", CleanConfig(), FEATURES)
+
+
 @query
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _prepared(spark, sf_dir)
