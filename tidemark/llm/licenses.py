@@ -1,9 +1,12 @@
 """License scanning by an exact set-similarity join.
 
-Texts are cut into blocks: lines, and of long lines overlapping stretches, so that a notice
-stands whole in one of them. A block matches a template if it holds the given share of the
-template's distinct words. The join works on words ordered by how often they occur in all
-blocks of the corpus, rarest first, restricted to the templates' vocabulary:
+Texts are cut into blocks in two ways. Lines, and of long lines overlapping stretches, match
+a template if they hold the given share of its distinct words. Beside them the words of the
+whole text are cut, whatever the line ends, so that notices wrapped over lines are found: a
+text matches if any run of at most ``1 + SLACK`` times a template's words holds that share.
+These blocks are as long and overlap as far as the longest template asks for, so that every
+such run lies in one. The join works on words ordered by how often they occur in all
+lines of the corpus, rarest first, restricted to the templates' vocabulary:
 
 * prefix filter: a match needs ``k`` of a template's ``n`` words, so it holds one of the
   ``n - k + 1`` rarest. Only those are joined.
@@ -11,7 +14,8 @@ blocks of the corpus, rarest first, restricted to the templates' vocabulary:
 * positional filter: the words from a shared one on must suffice, on both sides, for what
   is still missing.
 
-What passes is counted exactly. All of it is DataFrame operations.
+What passes is counted exactly, in blocks of the whole text run by run. All of it is DataFrame
+operations.
 
 The base part finds the license phrases word by word. Null and empty texts have no words;
 each row gets a row, and rows that repeat id and text the same result.
@@ -40,6 +44,8 @@ TEMPLATES = (
 )
 CONTAINMENT = 0.8
 BLOCK = 64
+# A wrapped notice may hold so many words more than its template, as a share: marks of comments, insertions.
+SLACK = 0.5
 
 
 def _words(text: Column) -> Column:
@@ -50,8 +56,9 @@ def _templates(spark: SparkSession, templates: tuple, containment: float) -> Dat
     rows = spark.createDataFrame(
         [(i, label, text) for i, (label, text) in enumerate(templates)], "template int, label string, notice string"
     )
-    words = F.array_distinct(_words(ascii_lower(F.col("notice"))))
-    rows = rows.select("template", "label", F.explode(words).alias("word"))
+    words = _words(ascii_lower(F.col("notice")))
+    run = F.ceil(F.size(words) * (1 + SLACK)).cast("int")
+    rows = rows.select("template", "label", run.alias("run"), F.explode(F.array_distinct(words)).alias("word"))
     size = F.count(F.lit(1)).over(Window.partitionBy("template"))
     return rows.withColumn("n", size).withColumn("need", F.ceil(F.col("n") * containment).cast("int"))
 
@@ -64,6 +71,19 @@ def _blocks(words: Column, size: int) -> Column:
     return F.when(F.size(words) <= size, F.array(words)).otherwise(cut)
 
 
+def _stretches(words: Column, vocabulary: list[str], run: int, least: int) -> Column:
+    """All words cut into stretches of twice ``run`` that overlap by half, null where a word is none of
+    the vocabulary: each run of so many words lies in one. Those with too few different words are left out."""
+    marks = F.transform(words, lambda w: F.when(w.isin(vocabulary), w))
+
+    def cut(m: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(m) / run).cast("int") - 2))
+        return F.transform(starts, lambda i: F.slice(m, i * run + 1, 2 * run))
+
+    parts = F.transform(F.array(marks), cut)[0]
+    return F.filter(parts, lambda b: F.size(F.array_distinct(F.array_compact(b))) >= least)
+
+
 def _starts(words: Column, parts: list[str]) -> Column:
     """Where the parts stand one after another, from 0."""
 
@@ -94,12 +114,13 @@ def scan(
     """``doc_id, text_hash, n_words, places, found, score`` for every row of ``docs (doc_id, text)``.
 
     ``places`` are the base phrases ``(at, label)``; ``found`` the labels of matched templates;
-    ``score`` the largest share of a template's words that one block holds, of those that match.
+    ``score`` the largest share of a template's words that one line's block or one run holds, of
+    those that match.
     """
     spark = docs.sparkSession
     wanted = _templates(spark, templates, containment)
     vocabulary = sorted({w for r in wanted.select("word").distinct().collect() for w in [r["word"]]})
-    least = wanted.agg(F.min("need")).first()[0]
+    least, run = wanted.agg(F.min("need"), F.max("run")).first()
     known = F.array(*[F.lit(w) for w in vocabulary])
 
     low = ascii_lower(F.coalesce("text", F.lit("")))
@@ -119,12 +140,13 @@ def scan(
             F.size(words).cast("long").alias("n_words"),
             places.alias("places"),
             F.filter(held, lambda b: F.size(b) > 0).alias("blocks"),
+            F.transform(F.array(words), lambda w: _stretches(w, vocabulary, run, least))[0].alias("stretches"),
         )
     )
     order = _order(base, wanted)
-    found = _matches(base, wanted.join(order, "word"), order, least, containment)
+    found = _matches(base, wanted.join(order, "word"), order, least)
     same = F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("text_hash") == F.col("f_hash"))
-    return base.drop("blocks").join(found, same, "left").select(
+    return base.drop("blocks", "stretches").join(found, same, "left").select(
         "doc_id",
         "text_hash",
         "n_words",
@@ -143,29 +165,60 @@ def _order(base: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(counted.select("word", rank.cast("long").alias("rank")))
 
 
-def _matches(base: DataFrame, wanted: DataFrame, order: DataFrame, least: int, containment: float) -> DataFrame:
+def _most(marks: Column, ranks: Column, run: Column) -> Column:
+    """The most different words out of ``ranks`` that a run of the marks' words holds."""
+    at = F.filter(
+        F.transform(marks, lambda r, i: F.struct(i.alias("at"), r.alias("rank"))),
+        lambda x: F.array_contains(ranks, x["rank"]),
+    )
+
+    def within(a: Column, x: Column) -> Column:
+        near = F.filter(a, lambda y: (y["at"] >= x["at"]) & (y["at"] < x["at"] + run))
+        return F.size(F.array_distinct(F.transform(near, lambda y: y["rank"])))
+
+    return F.array_max(F.transform(F.array(at), lambda a: F.array_max(F.transform(a, lambda x: within(a, x)))))
+
+
+def _matches(base: DataFrame, wanted: DataFrame, order: DataFrame, least: int) -> DataFrame:
     sorted_words = F.array_sort(F.collect_list(F.struct("rank", "word")))
-    whole = wanted.groupBy("template", "label", "n", "need").agg(sorted_words.alias("all"))
-    whole = whole.select("template", "label", "n", "need", F.transform("all", lambda x: x["rank"]).alias("ranks"))
+    key = ["template", "label", "run", "n", "need"]
+    whole = wanted.groupBy(*key).agg(sorted_words.alias("all"))
+    whole = whole.select(*key, F.transform("all", lambda x: x["rank"]).alias("ranks"))
     prefix = F.slice("ranks", 1, F.col("n").cast("int") - F.col("need") + 1)
-    index = stored(whole.select("template", "label", "n", "need", "ranks", F.posexplode(prefix).alias("t_at", "rank")))
+    index = stored(whole.select(*key, "ranks", F.posexplode(prefix).alias("t_at", "rank")))
 
-    # The templates' words from the rarest on; as many as the given templates hold.
+    # The templates' words from the rarest on, and those of their prefixes; as many as the given templates hold.
     by_rank = F.array(*[F.lit(r["word"]) for r in order.orderBy("rank").collect()])
-    probes = (
+    joined = [r["rank"] for r in index.select("rank").distinct().collect()]
+    lines = (
         base.select("doc_id", "text_hash", F.explode("blocks").alias("block"))
         .where(F.size("block") >= least)
         .distinct()
-        .select("doc_id", "text_hash", F.array_sort(F.transform("block", lambda w: F.array_position(by_rank, w))).alias("b_ranks"))
-        .select("doc_id", "text_hash", "b_ranks", F.posexplode("b_ranks").alias("b_at", "rank"))
+        .withColumn("marks", F.transform("block", lambda w: F.array_position(by_rank, w)))
+        .select("doc_id", "text_hash", "marks", F.lit(False).alias("cut"))
+    )
+    # Null stays where a word is none of the vocabulary.
+    stretches = base.select("doc_id", "text_hash", F.explode("stretches").alias("block")).select(
+        "doc_id",
+        "text_hash",
+        F.transform("block", lambda w: F.when(w.isNotNull(), F.array_position(by_rank, w))).alias("marks"),
+        F.lit(True).alias("cut"),
+    )
+    probes = lines.unionByName(stretches).withColumn(
+        "b_ranks", F.array_sort(F.array_distinct(F.array_compact("marks")))
+    )
+    placed = F.transform("b_ranks", lambda r, i: F.struct(i.alias("b_at"), r.alias("rank")))
+    probes = probes.select("*", F.explode(F.filter(placed, lambda x: x["rank"].isin(joined))).alias("x")).select(
+        "doc_id", "text_hash", "marks", "cut", "b_ranks", "x.b_at", "x.rank"
     )
     met = probes.join(index, "rank").where(
         (F.size("b_ranks") >= F.col("need"))
         # The first shared word lies in the prefix; from it on, both sides must still hold enough.
         & (F.least(F.size("b_ranks") - F.col("b_at"), F.col("n") - F.col("t_at")) >= F.col("need") - F.least("b_at", "t_at"))
     )
-    shared = F.size(F.array_intersect("b_ranks", "ranks"))
-    held = met.withColumn("shared", shared).where("shared >= need")
+    held = met.withColumn("shared", F.size(F.array_intersect("b_ranks", "ranks"))).where("shared >= need")
+    most = F.when(F.col("cut"), _most(F.col("marks"), F.col("ranks"), F.col("run"))).otherwise(F.col("shared"))
+    held = held.withColumn("most", most).where("most >= need")
     return held.groupBy(F.col("doc_id").alias("f_id"), F.col("text_hash").alias("f_hash")).agg(
-        F.sort_array(F.collect_set("label")).alias("found"), F.max(F.col("shared") / F.col("n")).alias("score")
+        F.sort_array(F.collect_set("label")).alias("found"), F.max(F.col("most") / F.col("n")).alias("score")
     )
