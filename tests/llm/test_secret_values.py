@@ -43,3 +43,17 @@ def test_long_repeats_are_cheap():
     for filler in ("aB" * 500, "x-" * 150, "=" * 3000, "password" * 200, "ab1" * 90 + "a"):
         assert secrets.guess_bits(filler) < secrets.BITS
     assert not values("token: " + "x-" * 150) and secrets.redact_text(b"pwd: " + b"aB" * 500) == b"pwd: " + b"aB" * 500
+
+
+@pytest.mark.parametrize("letters", [string.ascii_lowercase, string.ascii_uppercase, string.digits])
+def test_values_of_one_class_are_rated(letters):
+    for v in drawn(letters, 24, 50):
+        assert values(f"private_key: {v}\n") == [v] and values(f'"auth": "{v}", ') == [v]
+
+
+def test_values_end_at_their_own_quote():
+    assert values("""pwd: "Zk7'vR2!qX9" x""") == ["Zk7'vR2!qX9"]
+    assert values("""pwd: 'Zk7"vR2!qX9' x""") == ['Zk7"vR2!qX9']
+    assert values("auth=Zk7'vR2!qX9 x") == ["Zk7'vR2!qX9"]
+    assert values("passphrase: Zk7évR2ßqX9 é") == ["Zk7évR2ßqX9"]
+    assert b"vR2" not in secrets.redact_text("passphrase: 'Zk7évR2ßqX9'".encode())

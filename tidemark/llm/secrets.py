@@ -41,9 +41,10 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 # Credential words, common parts of passwords by falling frequency, keyboard rows.
+# A value ends at white space, or at its own quote if it has one; bytes beyond ASCII belong to it.
 CONTEXT = re.compile(
     rb"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|(?:api|access|private|secret)[_-]?key)"""
-    rb"""["']?\x20*[:=]\x20*["']?([!-&(-~]{8,})""",
+    rb"""["']?\x20*[:=]\x20*(?:"([^"\x00-\x20\x7F]{8,})"|'([^'\x00-\x20\x7F]{8,})'|["']?([^"\x00-\x20\x7F]{8,}))""",
     re.I,
 )
 CONTEXT_WORDS = (b"pass", b"pwd", b"secret", b"token", b"credential", b"auth", b"key")
@@ -146,11 +147,6 @@ def guess_bits(value: str) -> float:
     return best[n]
 
 
-def _mixed(value: bytes) -> bool:
-    kinds = [any(c in group for c in value) for group in (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789")]
-    return sum(kinds) + any(not chr(c).isalnum() for c in value) >= 2
-
-
 _HEX_MAP = bytes(1 if chr(i) in "0123456789abcdef" else 0 for i in range(256))
 _HEX_RUN = b"\x01" * 16
 
@@ -169,10 +165,14 @@ def find(text: bytes, bits: float = BITS) -> list[tuple[str, int, int, int, int]
         found += [("hex", *m.span(), *m.span()) for m in HEX.finditer(text)]
     if any(w in low for w in CONTEXT_WORDS):
         for m in CONTEXT.finditer(text):
-            value = m.group(1).rstrip(b".,;:)]}")
-            if len(value) >= LEAST and _mixed(value) and guess_bits(value.decode()) >= bits:
-                end = m.start(1) + len(value)
-                found.append(("guess", m.start(1), end, m.start(1), end))
+            group = m.lastindex
+            value = m.group(group)
+            if group == 3:
+                value = value.rstrip(b".,;:)]}'")
+            shown = value.decode("utf-8", "replace")
+            if len(shown) >= LEAST and guess_bits(shown) >= bits:
+                end = m.start(group) + len(value)
+                found.append(("guess", m.start(group), end, m.start(group), end))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
