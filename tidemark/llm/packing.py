@@ -1,17 +1,19 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
-Every source is a queue of tokens. A window of ``WINDOW`` tokens is filled by visiting the
-queues in turn: each earns its share of the corpus tokens times the window, serves the
+Every source is a queue of tokens. A window of ``WINDOW`` tokens, one training sequence, is
+filled by visiting the queues in turn: each earns its weight's share of the window, serves the
 whole tokens of its credit, and carries the rest, its deficit of less than one token, to the
-next window. Since a queue's credit after w windows is w times its quantum, what it has
-served by then is known without serving the windows before: packing needs only the
-tokens before a text in its queue, so windows, partitions and queues are filled
-independently and the deficit carries across all of them. All queues run dry in the last
-window together, windows are full, and sequences are cut from the run of windows
-without gaps: only the last sequence can be short.
+next window. Weights are the shares of the corpus tokens unless others are given; with the
+corpus' own all queues run dry in the last window together. With others, a queue that runs
+dry leaves its share to the rest, in proportion to their weights, and a new phase begins. Since
+a queue's credit after w windows of a phase is w times its quantum, what it has served by then
+is known without serving the windows before: packing needs only the tokens before a text in its
+queue, so windows, partitions and queues are filled independently and the deficit carries across
+all of them. Windows are full, and sequences are cut from the run of windows without gaps:
+only the last sequence can be short.
 
 A source that would earn less than a token for a window shares one queue with its like,
-and if they earn too little together they join the largest source. So there are at most
+and if they earn too little together they join the source of the largest weight. So there are at most
 ``WINDOW`` queues. A null source counts as the empty one. Null and empty texts hold the end
 token only. Every row is packed, also if ids repeat or are null.
 """
@@ -19,7 +21,8 @@ token only. Every row is packed, also if ids repeat or are null.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -32,7 +35,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import slices, stored, texts_of
 
 SEQUENCE = 4096
-WINDOW = 16 * SEQUENCE
+WINDOW = SEQUENCE
+# Weights are counted in whole parts of this.
+PARTS = 10**12
 END = 2
 VOCABULARY = "word_bpe_49k.json"
 # Most distinct words whose tokens a task remembers; then it starts anew.
@@ -145,45 +150,92 @@ def tokenized(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     return taken.mapInArrow(run, "doc_id long, source string, part int, start long, n long, ids binary")
 
 
-def queues(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(source, part, base, own, before, total)``: tokens before a part in its queue, tokens of the
-    queue, of the queues before it, and of all. One row per source and part."""
+def phases(queues: list[tuple[str, int, int]]) -> dict[str, list[tuple[int, int, int, int, int]]]:
+    """``(skip, own, before, first, total)`` for each phase of each queue of ``(queue, tokens, weight)``: tokens
+    of the queue before the phase and in it, of the queues before it in the phase, of the phases before,
+    and of the phase. A phase ends when a queue runs dry; queues without weight follow at last."""
+    out: dict[str, list[tuple[int, int, int, int, int]]] = {q: [] for q, _, _ in queues}
+    skipped = dict.fromkeys(out, 0)
+    idle = [(q, tokens, tokens) for q, tokens, weight in queues if not weight]
+    active, first = [q for q in queues if q[2]], 0
+    while active or idle:
+        if not active:
+            active, idle = idle, []
+        turns = min(Fraction(tokens, weight) for _, tokens, weight in active)
+        taken = [turns.numerator * weight // turns.denominator for _, _, weight in active]
+        total, before = sum(taken), 0
+        for (q, _, _), own in zip(active, taken):
+            if own:
+                out[q].append((skipped[q], own, before, first, total))
+            skipped[q] += own
+            before += own
+        first += total
+        active = [(q, tokens - own, weight) for (q, tokens, weight), own in zip(active, taken) if tokens > own]
+    return out
+
+
+def _weights(sources: DataFrame, weights: Mapping[str, float] | None) -> DataFrame:
+    """The sources with a whole weight: their tokens, or the given share. What the given ones leave of 1 goes
+    to the other sources by their tokens; if there are none, the given ones are in proportion."""
+    if weights is None:
+        return sources.withColumn("weight", F.col("tokens").cast("decimal(38,0)"))
+    if any(not w > 0 for w in weights.values()) or sum(weights.values()) > 1 + 1e-9:
+        raise ValueError("weights must be above 0 and at most 1 together")
+    spark = sources.sparkSession
+    given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "source string, given double")
+    joined = sources.join(given, "source", "left")
+    others = F.sum(F.when(F.col("given").isNull(), F.col("tokens"))).over(Window.partitionBy(F.lit(0)))
+    left = max(0.0, 1 - sum(weights.values()))
+    share = F.coalesce("given", F.col("tokens") / others * left)
+    # Sources without a share come last and are packed too.
+    whole = F.round(share * PARTS).cast("decimal(38,0)")
+    return joined.select("source", "tokens", whole.alias("weight"))
+
+
+def queues(tokens: DataFrame, window: int = WINDOW, weights: Mapping[str, float] | None = None) -> DataFrame:
+    """``(source, part, base, phases)``: tokens before a part in its queue, and the queue's phases. One row
+    per source and part."""
     parts = tokens.groupBy("source", "part").agg(F.sum("n").alias("n"))
-    sources = parts.groupBy("source").agg(F.sum("n").alias("tokens"))
+    sources = _weights(parts.groupBy("source").agg(F.sum("n").alias("tokens")), weights)
     # One row per source meets here, with its total; ties for the largest go to the later name.
     every = Window.partitionBy(F.lit(0))
-    largest = F.max(F.struct("tokens", "source")).over(every)["source"]
-    sized = sources.select("*", F.sum("tokens").over(every).alias("total"), largest.alias("largest"))
-    ample = F.col("tokens").cast("decimal(38,0)") * window >= F.col("total")
-    rest = F.sum(F.when(~ample, F.col("tokens")).otherwise(0)).over(Window.partitionBy("total"))
-    shared = F.when(rest.cast("decimal(38,0)") * window >= F.col("total"), F.lit(None)).otherwise(F.col("largest"))
-    named = sized.select("source", "tokens", "total", F.when(ample, F.col("source")).otherwise(shared).alias("queue"))
-    sums = named.groupBy("queue", "total").agg(F.sum("tokens").alias("own"))
-    upto = Window.partitionBy("total").orderBy("queue").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("own").over(upto), F.lit(0)))
-    owned = named.alias("s").join(sums.alias("q"), F.col("s.queue").eqNullSafe(F.col("q.queue"))).select(
-        "s.source", "s.queue", "q.own", "q.before", "q.total"
-    )
+    largest = F.max(F.struct("weight", "source")).over(every)["source"]
+    sized = sources.select("*", F.sum("weight").over(every).alias("total"), largest.alias("largest"))
+    ample = F.col("weight") * window >= F.col("total")
+    rest = F.sum(F.when(~ample, F.col("weight")).otherwise(0)).over(Window.partitionBy("total"))
+    # By name: the shared queue, those of single sources, and that of sources without a share.
+    shared = F.when(rest * window >= F.col("total"), F.lit("")).otherwise(F.concat(F.lit("+"), "largest"))
+    name = F.when(F.col("weight") == 0, F.lit("-")).when(ample, F.concat(F.lit("+"), "source")).otherwise(shared)
+    named = stored(sized.select("source", "tokens", "weight", name.alias("queue")))
+    # At most a window's tokens of queues reach the driver.
+    sums = named.groupBy("queue").agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight"))
+    held = sorted(sums.collect(), key=lambda r: r["queue"])
+    dealt = phases([(r["queue"], int(r["tokens"]), int(r["weight"])) for r in held])
+    kinds = "queue string, phases array<struct<skip:bigint,own:bigint,before:bigint,first:bigint,total:bigint>>"
+    plan = tokens.sparkSession.createDataFrame(list(dealt.items()), kinds)
+    owned = named.join(plan, "queue").select("source", "queue", "phases")
     earlier = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
     return parts.join(owned, "source").select(
-        "source", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"), "own", "before", "total"
+        "source", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"), "phases"
     )
 
 
-def pieces(x: int, n: int, own: int, before: int, total: int, window: int, sequence: int) -> list[tuple[int, int, int]]:
-    """``(start, length, position)`` of a text whose queue holds ``x`` tokens before its ``n``.
+def pieces(
+    x: int, n: int, own: int, before: int, first: int, total: int, window: int, sequence: int
+) -> list[tuple[int, int, int]]:
+    """``(start, length, position)`` of a text whose queue holds ``x`` tokens of a phase before its ``n``.
 
-    ``served(w)`` is what the queue has served after w windows, ``ahead(w)`` what the queues
-    before it serve in window w. Positions count all tokens; pieces end with sequences.
+    ``served(w)`` is what the queue has served of the phase after w windows. Positions count all
+    tokens; the phase begins at ``first``; pieces end with sequences.
     """
 
     def credit(tokens: int, w: int) -> int:
-        return min(w * window, total) * tokens // total
+        return min(max(w * window - first, 0), total) * tokens // total
 
     def served(w: int) -> int:
         return credit(before + own, w) - credit(before, w)
 
-    w = x * total // (own * window)
+    w = (first + x * total // own) // window
     while served(w) > x:
         w -= 1
     while served(w + 1) <= x:
@@ -191,7 +243,7 @@ def pieces(x: int, n: int, own: int, before: int, total: int, window: int, seque
     out, at = [], x
     while at < x + n:
         stop = min(x + n, served(w + 1))
-        g = w * window + credit(before, w + 1) - credit(before, w) + at - served(w)
+        g = max(w * window, first) + credit(before, w + 1) - credit(before, w) + at - served(w)
         while at < stop:
             length = min(stop - at, sequence - g % sequence)
             out.append((at - x, length, g))
@@ -200,22 +252,38 @@ def pieces(x: int, n: int, own: int, before: int, total: int, window: int, seque
     return out
 
 
+def placed_pieces(x: int, n: int, plan: list[dict], window: int, sequence: int) -> Iterator[tuple[int, int, int]]:
+    """The pieces of a text whose queue holds ``x`` tokens before its ``n``, over the queue's phases."""
+    for p in plan:
+        skip, own = p["skip"], p["own"]
+        a, b = max(x, skip), min(x + n, skip + own)
+        if a < b:
+            for start, length, g in pieces(a - skip, b - a, own, p["before"], p["first"], p["total"], window, sequence):
+                yield a - x + start, length, g
+
+
 def pack(
-    docs: DataFrame, path: str | None = None, sequence: int = SEQUENCE, window: int = WINDOW, end: int = END
+    docs: DataFrame,
+    path: str | None = None,
+    sequence: int = SEQUENCE,
+    window: int = WINDOW,
+    end: int = END,
+    weights: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``; ids are four-byte
-    little-endian numbers. ``docs`` has ``doc_id, source, text``."""
+    little-endian numbers. ``docs`` has ``doc_id, source, text``. ``weights`` are target shares of sources;
+    without them the corpus' own hold."""
     tokens = stored(tokenized(docs, path or public_tokenizers.path(VOCABULARY), end))
-    placed = tokens.join(stored(queues(tokens, window)), ["source", "part"])
-    placed = placed.select("doc_id", "ids", "n", (F.col("base") + F.col("start")).alias("x"), "own", "before", "total")
+    placed = tokens.join(stored(queues(tokens, window, weights)), ["source", "part"])
+    placed = placed.select("doc_id", "ids", "n", (F.col("base") + F.col("start")).alias("x"), "phases")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "ids"):
                 rows: list[tuple] = []
-                for doc, ids, n, x, own, before, total in zip(*(c.to_pylist() for c in part.columns)):
+                for doc, ids, n, x, plan in zip(*(c.to_pylist() for c in part.columns)):
                     wide = np.frombuffer(ids, dtype="<u2").astype("<u4")
-                    for start, length, g in pieces(x, n, own, before, total, window, sequence):
+                    for start, length, g in placed_pieces(x, n, plan, window, sequence):
                         cut = wide[start : start + length].tobytes()
                         rows.append((doc, start, length, cut, zlib.crc32(cut), n, g // sequence, g % sequence))
                 names = ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
