@@ -134,7 +134,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     names = owners.distinct().groupBy(*KEY).agg(
         F.array_sort(F.collect_list(F.col("item_id").cast("string"))).alias("items")
     )
-    found = stored(hits.join(names, KEY, "left_outer"))
+    # Null ids are ids too.
+    named = names.select(F.col("doc_id").alias("n_id"), F.col("text_hash").alias("n_hash"), "items")
+    match = F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("text_hash") == F.col("n_hash"))
+    found = stored(hits.join(named, match, "left_outer").select(*KEY, "n_hit", "items"))
     same = F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("text_hash") == F.col("f_hash"))
     found = found.withColumnRenamed("doc_id", "f_id").withColumnRenamed("text_hash", "f_hash")
     return counts.join(found, same, "left").select(
