@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -157,3 +158,76 @@ def license_phrases(rows):
         first, last = (min(places), max(places)) if places else (None, None)
         out.append((doc, len(w), len(places), first, last, ",".join(sorted(labels))))
     return out
+
+
+def word_runs(words, least=12):
+    """(start, length, period) of every run, by comparing all words one period apart."""
+    found = {}
+    for p in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + p < len(words):
+            j = i
+            while j + p < len(words) and words[j] == words[j + p]:
+                j += 1
+            if j + p - i >= max(least, 2 * p):
+                found.setdefault((i, j + p), p)
+            i = j + 1
+    return sorted(((s, e - s, p) for (s, e), p in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def runs_collapsed(rows):
+    """op11: rows of doc_id, text."""
+    out = []
+    for doc, text in rows:
+        words = SPACE_WORDS.findall(text or "")
+        n = len(words)
+        h = zlib.crc32(str(doc).encode()) if doc is not None else 1
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        runs = word_runs(words)
+        gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+        best = min(((-length, s, q) for s, length, q in runs), default=None)
+        shown = (None,) * 4 if best is None else (best[1], -best[0], best[2], 1000 * -best[0] // best[2])
+        lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((doc, len(runs), *shown, sha(lines), sha(kept)))
+    return out
+
+
+def mixture(rows, weights=(5, 2, 1), seed=12):
+    """op12: rows of doc_id, text, source; shares are handed out round by round."""
+    docs = []
+    for doc, text, source in rows:
+        size = len(SPACE_WORDS.findall(text or ""))
+        digest = hashlib.md5(f"{'' if doc is None else f'{doc}:'}{seed}".encode()).hexdigest()
+        u = (int(digest[:13], 16) + 0.5) / 2**52
+        marks = len(re.findall(r"[\x21-\x40\x5B-\x60\x7B-\x7E]", text or ""))
+        quality = max(0.05, 1 - marks / len(text) if text else 0.0)
+        docs.append((source, -math.log(u) / quality, doc, size))
+    sizes = Counter()
+    for source, _, _, size in docs:
+        sizes[source] += size
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    target, free, left = {s: 0.0 for s in order}, set(order), 1.5 * sum(sizes.values())
+    while free:
+        level = left / sum(weight[s] for s in free)
+        full = {s for s in free if level * weight[s] >= 2 * sizes[s]}
+        if not full:
+            target.update({s: level * weight[s] for s in free})
+            break
+        target.update({s: 2.0 * sizes[s] for s in full})
+        left -= sum(2 * sizes[s] for s in full)
+        free -= full
+    out = []
+    for source in order:
+        epochs = min(2, int(target[source] // sizes[source])) if sizes[source] else 0
+        rest = math.floor(target[source] - epochs * sizes[source])
+        for _, _, doc, size in sorted((d for d in docs if d[0] == source), key=lambda d: (d[1], d[2] is not None, d[2] or 0, d[3])):
+            part = min(size, rest)
+            rest -= part
+            out.append((doc, size, sizes[source], target[source], epochs * size + part))
+    return out

@@ -1,3 +1,40 @@
 """SQL that states the result of a query, where SQL can over whole tables."""
 
-ORACLES: dict[str, str] = {}
+MIXING = """
+WITH d AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+        -ln((CAST('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), '12')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+            / 4503599627370496::DOUBLE)
+        / GREATEST(COALESCE(length(regexp_replace(text, '[\\x21-\\x40\\x5B-\\x60\\x7B-\\x7E]', '', 'g'))::DOUBLE
+            / NULLIF(length(text), 0), 0), 0.05::DOUBLE) AS key
+    FROM documents),
+s AS (
+    SELECT source, CAST(SUM(size) AS BIGINT) AS source_size,
+        CASE (ROW_NUMBER() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
+        ROW_NUMBER() OVER (ORDER BY source NULLS LAST) AS number
+    FROM d GROUP BY source),
+f AS (
+    SELECT *, 2 * source_size AS cap, 2 * source_size / weight::DOUBLE AS ratio,
+        COALESCE(SUM(2 * source_size) OVER earlier, 0) AS caps, COALESCE(SUM(weight) OVER earlier, 0) AS weights,
+        SUM(source_size) OVER () * 1.5::DOUBLE AS budget, SUM(weight) OVER () AS all_weights
+    FROM s WINDOW earlier AS (ORDER BY 2 * source_size / weight::DOUBLE, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT *, (budget - caps::DOUBLE) / (all_weights - weights)::DOUBLE AS level FROM f),
+least AS (SELECT arg_min(level, (ratio, number)) AS level FROM l WHERE ratio > level),
+t AS (
+    SELECT source, source_size,
+        COALESCE(LEAST(cap::DOUBLE, (SELECT level FROM least) * weight), cap::DOUBLE) AS target
+    FROM f),
+e AS (
+    SELECT *, LEAST(COALESCE(floor(target / NULLIF(source_size, 0)), 0), 2)::BIGINT AS epochs FROM t),
+r AS (
+    SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs,
+        floor(e.target - e.epochs * e.source_size)::BIGINT AS rest,
+        COALESCE(SUM(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id NULLS FIRST, d.size
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target,
+    CAST(epochs * size + GREATEST(0, LEAST(size, rest - before)) AS BIGINT) AS taken
+FROM r
+"""
+
+ORACLES: dict[str, str] = {"op12_mixing": MIXING}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
@@ -13,13 +13,16 @@ from tidemark.llm import (
     forest,
     licenses,
     lsa,
+    mixing,
     packing,
+    periods,
     secrets,
     simhash,
     suffixes,
+    whitening,
     winnowing,
 )
-from tidemark.llm.common import table
+from tidemark.llm.common import SPACES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +121,61 @@ def op3_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """Every tenth text, by the hash of its id, goes on with a stretch of its own words repeated."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        rest = (n - a).cast("int")
+        times = F.ceil(rest / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), rest)
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")).otherwise("")
+
+    words = F.filter(F.split(F.col("text"), SPACES), lambda w: w != "")
+    # Bound once as an element, so that the words are not cut again at every use.
+    planted = F.transform(F.array(words), repeated)[0]
+    return docs.select("doc_id", F.when((h % 10 == 0) & F.col("text").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(_with_repeats(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.transform(lines, lambda x: F.concat(x, F.lit("\n")))
+    # The least of these is the longest run, then the one of smallest start, then period.
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    shown = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    length, period = -F.col("best.l"), F.col("best.p")
+    return shown.select(
+        "doc_id",
+        "n_runs",
+        F.col("best.s").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+@query
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
