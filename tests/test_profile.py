@@ -6,6 +6,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tidemark.operators import dashboard, profile, quantiles
 
 SLOW = dict(deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -114,12 +116,47 @@ def test_corr_matrix_of_many_columns_is_one_scan(spark, tmp_path):
     assert len(got) == 1600 and all(abs(got[x, y] - got[y, x]) < 1e-9 for x, y in got)
 
 
-def test_box_stats_count_values_once(spark, tmp_path):
-    df = spark.createDataFrame([(0, 1.0), (1, 9.0)], "y int, v double")
-    result = quantiles.box_stats(df, "y", ["v"])
-    result.collect()
-    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("ReusedExchange") >= 3
+def shuffled_rows(df):
+    """Rows that each shuffle of the finished plan has written, by the plan's own metrics."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if name == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_quantiles_shuffle_only_what_lies_in_a_bracket(spark):
+    """30,000 different values, of which a bracket of accuracy 500 holds 4 in 500 for each quartile."""
+    df = spark.range(30_000).selectExpr("0 as y", "cast((id * 7919) % 30011 as double) as v").repartition(4)
+    rows = quantiles.values(df.cache(), ["y"], ["v"])
+    got = quantiles.exact_quantiles(rows, ["y", "column"], (0.25, 0.5, 0.75), accuracy=500)
+    moved = shuffled_rows(got)
+    assert moved and sum(moved) < 3 * 30_000 * 4 / 500 * 2.5
+    want = np.quantile([float(i * 7919 % 30011) for i in range(30_000)], (0.25, 0.5, 0.75))
+    assert got.first()["quantiles"] == pytest.approx(list(want))
+
+
+def test_box_stats_shuffle_no_values(spark):
+    df = spark.range(20_000).selectExpr("id % 2 as y", "cast((id * 7919) % 20011 as double) as v").repartition(4).cache()
+    assert sum(shuffled_rows(quantiles.box_stats(df, "y", ["v"]))) < 200
+
+
+def test_a_sketch_that_misses_costs_no_exactness(spark, monkeypatch):
+    df = spark.range(2000).selectExpr("0 as y", "cast(id as double) as v")
+    honest = F.percentile_approx
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda *_: honest("value", [0.99] * 2, 10))
+    rows = quantiles.values(df, ["y"], ["v"])
+    assert quantiles.exact_quantiles(rows, ["y", "column"], (0.5,)).first()["quantiles"] == [999.5]
 
 
 def test_hist_puts_maximum_in_last_bin_and_skips_gaps(spark):

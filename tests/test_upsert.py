@@ -67,7 +67,7 @@ def test_uncommitted_directories_are_ignored(spark, tmp_path):
     table.apply(frame(spark, A), 0)
     table.apply(frame(spark, B), 1)
     name = table._changes(spark)[1][1]
-    (tmp_path / "t" / "changes" / name / "_SUCCESS").unlink()
+    (tmp_path / "t" / "changes" / f"tidemark_part={name}" / "_SUCCESS").unlink()
     assert rows(table.read(spark)) == expect([A])
     table.apply(frame(spark, B), 1)
     assert rows(table.read(spark)) == expect([A, B])
@@ -112,7 +112,9 @@ def test_expire_keeps_the_current_rows(spark, tmp_path):
         table.apply(frame(spark, batch), i)
         table.compact(spark)
     assert table.expire(spark)
-    assert table._bases(spark) == [2]
+    # Of every bucket one copy is left, an untouched one from an earlier compaction.
+    held = [(n, b) for n in table._bases(spark) for b in table._buckets_of(spark, "base", n)]
+    assert sorted(held) == sorted((n, b) for b, n in table._live(spark).items())
     assert rows(table.read(spark)) == expect([A, B, C])
     # The last batch of the stream is still known.
     table.apply(frame(spark, C), 2)
@@ -120,6 +122,67 @@ def test_expire_keeps_the_current_rows(spark, tmp_path):
     assert (1, "y", 1) in rows(table.read(spark))
 
 
+def stamps(root):
+    return {f: f.stat().st_mtime_ns for f in root.rglob("*.parquet")}
+
+
+def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
+    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",), buckets=8)
+    first = [(i, "a", 1) for i in range(200)] + [(None, "n", 1)]
+    table.apply(frame(spark, first), 0)
+    assert table.compact(spark)
+    before = stamps(tmp_path / "t" / "base")
+    assert len(table._live(spark)) == 8
+    table.apply(frame(spark, [(5, "b", 2)]), 1)
+    assert table.compact(spark)
+    live = table._live(spark)
+    # One key touches one bucket: the new copy holds nothing else, and no older file has changed.
+    assert sorted(live.values()) == [0] * 7 + [1] and table._buckets_of(spark, "base", 1) == [b for b in live if live[b]]
+    after = stamps(tmp_path / "t" / "base")
+    assert {f: t for f, t in after.items() if f in before} == before and len(after) > len(before)
+    assert rows(table.read(spark)) == expect([first, [(5, "b", 2)]])
+    assert any("tidemark_part=0" in p for p in table.expire(spark))
+    assert rows(table.read(spark)) == expect([first, [(5, "b", 2)]])
+
+
+def test_reading_moves_neither_the_copy_nor_the_changes(spark, tmp_path):
+    table = UpsertTable(str(tmp_path / "t"), ("id",), ("seq",), buckets=8)
+    for number in range(3):
+        table.apply(frame(spark, [(i, f"v{number}", number) for i in range(number, 300, number + 1)]), number)
+        if number == 0:
+            table.compact(spark)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        current = table.read(spark)
+        assert len(rows(current)) == 300
+        plan = current._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, kept)
+    assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+    assert "Exchange" not in plan.split("== Initial Plan ==")[0]
+
+
+def test_many_columns_in_the_key_and_other_formats(spark, tmp_path):
+    schema = "`a b` string, k bigint, v string, seq int"
+    for fmt in ("orc", "json"):
+        table = UpsertTable(str(tmp_path / fmt), ("a b", "k"), ("seq",), fmt=fmt, buckets=3)
+        one = [("x", 1, "p", 1), ("x", 2, "q", 1), ("x", None, "r", 1), (None, 1, "s", 1)]
+        two = [("x", 1, "t", 2), ("y", 1, "u", 1)]
+        table.apply(spark.createDataFrame(one, schema), 0)
+        table.compact(spark)
+        table.apply(spark.createDataFrame(two, schema), 1)
+        got = {(r["a b"], r["k"], r["v"]) for r in table.read(spark).collect()}
+        assert got == {("x", 1, "t"), ("x", 2, "q"), ("x", None, "r"), (None, 1, "s"), ("y", 1, "u")}
+
+
+def test_number_of_buckets_is_kept(spark, tmp_path):
+    UpsertTable(str(tmp_path / "t"), ("id",), buckets=4).apply(frame(spark, B[:2]), 0)
+    with pytest.raises(ValueError, match="has 4 buckets"):
+        UpsertTable(str(tmp_path / "t"), ("id",), buckets=5).apply(frame(spark, B[:1]), 1)
+
+
 def test_upsert_reads_target_once_and_source_for_keys_and_rows(spark, tmp_path):
     for name, data in (("a", A), ("b", B)):
         frame(spark, data).write.parquet(str(tmp_path / name))

@@ -63,13 +63,14 @@ class CleanConfig:
 
 @dataclass(frozen=True)
 class FeatureConfig:
-    """What the feature stages see."""
+    """What the feature stages see; ``wide`` keeps one-hots sparse and their index in a table."""
 
     key: str
     label: str | None
     bins: tuple[BinSpec, ...] = ()
     exclude: tuple[str, ...] = ()
     nulls: str = "impute"
+    wide: bool = False
 
 
 @dataclass(frozen=True)

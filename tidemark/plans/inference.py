@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.defaults import CleanConfig, FeatureConfig
-from tidemark.operators import clean, derive, features, models, registry
+from tidemark.operators import clean, derive, features, models, registry, sparse
 from tidemark.plans.training import Home, with_row_key
 
 
@@ -30,7 +30,8 @@ def score_with_champion(
     if found is None:
         raise LookupError(f"no registered model named {name!r}")
     _, uid = found
-    model = models.load_model(spark, home.models, uid)
+    load = sparse.load_wide if sparse.is_wide(spark, home.models, uid) else models.load_model
+    model = load(spark, home.models, uid)
     cleaned = derive.bin_columns(clean.clean(source, cleaning), feature.bins)
     rows = features.prepare(with_row_key(cleaned, feature.key), feature)
     return models.predict(model, rows).select(feature.key, "prediction")

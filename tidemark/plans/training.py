@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.defaults import CleanConfig, FeatureConfig, TrainConfig
 from tidemark.functions import named
-from tidemark.operators import clean, derive, evaluation, features, models, registry, split
+from tidemark.operators import clean, derive, evaluation, features, models, registry, sparse, split
 from tidemark.sinks import save
 from tidemark.sources.batch import read_table
 from tidemark.sources.storage import exists
@@ -94,9 +94,15 @@ def train_and_promote(
     train = rows.where("_part = 'train'").drop("_part")
     test = rows.where("_part = 'test'").drop("_part")
 
-    fitted = features.fit_features(train, prepared_config(feature))
+    if feature.wide:
+        uid = sparse.new_wide_uid()
+        fitted = sparse.fit_sparse(train, prepared_config(feature), sparse.features_path(home.models, uid))
+        vectors = fitted.vectors(train)
+    else:
+        fitted = features.fit_features(train, prepared_config(feature))
+        vectors = fitted.transform(train)
     model = models.fit_classifier(
-        fitted.transform(train),
+        vectors,
         training.algorithm,
         training.grid,
         training.metric,
@@ -105,9 +111,13 @@ def train_and_promote(
         training.seed,
         feature.key,
     )
-    whole = PipelineModel(stages=[*fitted.stages, model])
+    if feature.wide:
+        whole = sparse.WideModel(fitted, model)
+        model_uid = sparse.save_wide(model, home.models, uid)
+    else:
+        whole = PipelineModel(stages=[*fitted.stages, model])
+        model_uid = models.save_model(whole, home.models)
     metrics = evaluation.evaluate_model(whole, test)
-    model_uid = models.save_model(whole, home.models)
 
     run_id = uuid.uuid4().hex
     record = registry.run_record(
@@ -138,4 +148,5 @@ def prepared_config(feature: FeatureConfig) -> FeatureConfig:
         key=feature.key,
         label="label",
         nulls=feature.nulls,
+        wide=feature.wide,
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: list[tempfile.TemporaryDirectory] = []
 
@@ -58,6 +58,16 @@ def workspace(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tidemark/{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written once below the shared folder and read back.
+
+    What follows reads files of known size, and a result that steps share is computed once.
+    """
+    path = workspace(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage; keeps a directory that is already set."""
     if spark.sparkContext.getCheckpointDir() is None:

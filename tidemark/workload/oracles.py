@@ -297,18 +297,159 @@ latest AS (SELECT name, version, run_id FROM reg
 )
 
 
+def density() -> str:
+    """Kernel densities on 100 points, from values shared out to the points beside them."""
+    long = union(
+        f"SELECT churn, '{m}' AS \"column\", CAST({m} AS DOUBLE) AS v FROM c WHERE {m} IS NOT NULL"
+        for m in ("tenure", "balance", "last_interaction")
+    )
+    return f"""{C360}, v AS ({long}),
+    g AS (SELECT churn, "column", COUNT(*) AS n, STDDEV_SAMP(v) * POW(COUNT(*), -0.2) AS h,
+                 MIN(v) AS lo, MAX(v) AS hi FROM v GROUP BY 1, 2 HAVING STDDEV_SAMP(v) > 0),
+    s AS (SELECT *, lo - 2 * h AS start, (hi - lo + 4 * h) / 99 AS step FROM g),
+    p AS (SELECT v.churn, v."column", (v - start) / step AS spot FROM v JOIN s USING (churn, "column")),
+    w AS (SELECT churn, "column", node, SUM(weight) AS weight FROM (
+            SELECT churn, "column", FLOOR(spot) AS node, 1 - (spot - FLOOR(spot)) AS weight FROM p
+            UNION ALL SELECT churn, "column", FLOOR(spot) + 1, spot - FLOOR(spot) FROM p) GROUP BY ALL)
+    SELECT churn, "column", CAST(i AS INTEGER) AS point, ROUND(start + i * step, 6) AS x,
+           ROUND(SUM(weight * EXP(-0.5 * POW((i - node) * step / h, 2))) / (n * h * SQRT(2 * PI())), 12) AS density
+    FROM s JOIN w USING (churn, "column") CROSS JOIN range(100) r(i) GROUP BY churn, "column", i, start, step, n, h"""
+
+
+def sparse_slots() -> str:
+    """Categories by frequency in the training part, then scaled numbers; zeros left out."""
+    index = """SELECT {0} AS value, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {0}) - 1 AS idx
+               FROM tr GROUP BY {0}"""
+    first, second = "(SELECT COUNT(*) FROM o)", "(SELECT COUNT(*) FROM st)"
+    numbers = union(
+        f"""SELECT line, CAST({first} + {second} + {i} AS INTEGER) AS slot,
+                   ({m} - (SELECT AVG({m}) FROM tr)) / (SELECT STDDEV_SAMP({m}) FROM tr) AS value FROM t"""
+        for i, m in enumerate(("quantity", "price"))
+    )
+    return f"""{LINES}, o AS ({index.format('"order"')}), st AS ({index.format("status")})
+    SELECT line, slot, ROUND(value, 6) AS value FROM (
+        SELECT line, CAST(idx AS INTEGER) AS slot, 1.0::DOUBLE AS value FROM t JOIN o ON o.value = t."order"
+        UNION ALL SELECT line, CAST({first} + idx AS INTEGER), 1.0 FROM t JOIN st ON st.value = t.status
+        UNION ALL {numbers}) WHERE value <> 0"""
+
+
+def cv_scores_nb() -> str:
+    """Each fold of the training part scored by the others' statistics."""
+    return f"""{scaled_slots()},
+    fo AS (SELECT *, CAST(CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 3
+                         AS INTEGER) AS fold FROM z WHERE part = 'train'),
+    k AS (SELECT DISTINCT fold AS k FROM fo),
+    n AS (SELECT k, label, LN(COUNT(DISTINCT customer_id)) AS log_n FROM fo JOIN k ON fold <> k GROUP BY ALL),
+    eps AS (SELECT k, 1e-9 * MAX(v) AS e FROM (SELECT k, slot, VAR_POP(value) AS v FROM fo JOIN k ON fold <> k
+            GROUP BY ALL) GROUP BY k),
+    g AS (SELECT k, label, slot, AVG(value) AS mean, VAR_POP(value) + ANY_VALUE(e) AS var
+          FROM fo JOIN k ON fold <> k JOIN eps USING (k) GROUP BY ALL),
+    l AS (SELECT fo.fold, fo.customer_id, fo.label, n.label AS class,
+                 MAX(log_n) - SUM((fo.value - mean) ** 2 / var + LN(var)) / 2 AS score
+          FROM fo JOIN g ON g.k = fo.fold AND g.slot = fo.slot JOIN n ON n.k = fo.fold AND n.label = g.label
+          GROUP BY ALL),
+    p AS (SELECT fold, label, ARG_MAX(class, score) AS prediction FROM l GROUP BY fold, customer_id, label)
+    SELECT fold, COUNT(*) AS rows, ROUND(AVG(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+    FROM p GROUP BY fold"""
+
+
+def permutation_importance() -> str:
+    """Naive Bayes on the test part with one slot at a time taken from a row j + 1 places before."""
+    return f"""{scaled_slots()},
+    n AS (SELECT label, LN(COUNT(DISTINCT customer_id)) AS log_n FROM z WHERE part = 'train' GROUP BY label),
+    eps AS (SELECT 1e-9 * MAX(v) AS e FROM (SELECT VAR_POP(value) AS v FROM z
+            WHERE part = 'train' GROUP BY slot)),
+    g AS (SELECT label, slot, AVG(value) AS mean, VAR_POP(value) + (SELECT e FROM eps) AS var
+          FROM z WHERE part = 'train' GROUP BY label, slot),
+    rk AS (SELECT customer_id, ROW_NUMBER() OVER (ORDER BY
+               CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT), customer_id) - 1 AS r
+           FROM t WHERE part = 'test'),
+    ranked AS (SELECT r, customer_id, label, slot, value FROM z JOIN rk USING (customer_id)),
+    m AS (SELECT COUNT(*) AS rows FROM rk),
+    part_of AS (SELECT x.customer_id, x.label, x.slot, x.r, g.label AS class,
+               (x.value - mean) ** 2 / var + LN(var) AS plain,
+               (d.value - mean) ** 2 / var + LN(var) AS altered
+          FROM ranked x JOIN g USING (slot) CROSS JOIN m
+          JOIN ranked d ON d.slot = x.slot AND (d.r + d.slot + 1) % m.rows = x.r),
+    l AS (SELECT customer_id, label, class, SUM(plain) AS plain FROM part_of GROUP BY ALL),
+    s AS (SELECT p.customer_id, p.label, p.class, p.slot, log_n - (l.plain - p.plain + p.altered) / 2 AS score
+          FROM l JOIN part_of p ON p.customer_id = l.customer_id AND p.class = l.class JOIN n ON n.label = p.class),
+    a AS (SELECT slot, AVG(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0 END) AS accuracy
+          FROM (SELECT customer_id, label, slot, ARG_MAX(class, score) AS prediction FROM s GROUP BY ALL) GROUP BY slot),
+    base AS (SELECT AVG(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0 END) AS accuracy
+          FROM (SELECT customer_id, l.label AS label, ARG_MAX(class, log_n - plain / 2) AS prediction
+                FROM l JOIN n ON n.label = class GROUP BY customer_id, l.label))
+    SELECT slot, ROUND(a.accuracy, 6) AS accuracy, ROUND(base.accuracy - a.accuracy, 6) AS importance FROM a CROSS JOIN base"""
+
+
+LINES = """
+WITH t AS (SELECT l_orderkey * 8 + l_linenumber AS line, CAST(l_orderkey AS VARCHAR) AS "order",
+                  l_linestatus AS status, CAST(l_quantity AS DOUBLE) AS quantity,
+                  CAST(l_extendedprice AS DOUBLE) AS price FROM lineitem),
+tr AS (SELECT * FROM t WHERE
+       CAST('0x' || substr(md5(CAST(line AS VARCHAR) || ':42'), 1, 8) AS BIGINT) < 3435973837)
+"""
+
+SPLITS = f"""{C360},
+r AS (SELECT * FROM c WHERE tenure IS NOT NULL AND usage_frequency IS NOT NULL AND support_calls IS NOT NULL),
+v AS (SELECT 'tenure' AS "column", CAST(tenure AS DOUBLE) AS value, churn FROM r
+      UNION ALL SELECT 'usage_frequency', CAST(usage_frequency AS DOUBLE), churn FROM r
+      UNION ALL SELECT 'support_calls', CAST(support_calls AS DOUBLE), churn FROM r),
+k AS (SELECT "column", value, COUNT(*) AS n, SUM(churn) AS hits FROM v GROUP BY 1, 2),
+q AS (SELECT "column", (value + LEAD(value) OVER o) / 2 AS threshold,
+             SUM(n) OVER o AS ln, SUM(hits) OVER o AS lh,
+             SUM(n) OVER w AS rows, SUM(hits) OVER w AS hits
+      FROM k WINDOW o AS (PARTITION BY "column" ORDER BY value), w AS (PARTITION BY "column")),
+split AS (SELECT "column", threshold, CAST(ln AS BIGINT) AS left_rows, CAST(rows - ln AS BIGINT) AS right_rows,
+      2 * (hits / rows) * (1 - hits / rows) - (ln * 2 * (lh / ln) * (1 - lh / ln)
+        + (rows - ln) * 2 * ((hits - lh) / (rows - ln)) * (1 - (hits - lh) / (rows - ln))) / rows AS gain
+      FROM q WHERE threshold IS NOT NULL)
+"""
+
+GROUPED_AUC = (
+    SCORED
+    + """, g AS (SELECT lang, source, score, SUM(label) AS pos, SUM(1 - label) AS neg FROM s GROUP BY ALL),
+cum AS (SELECT *, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp,
+               SUM(pos) OVER a AS p, SUM(neg) OVER a AS n
+        FROM g WINDOW w AS (PARTITION BY lang, source ORDER BY score DESC ROWS UNBOUNDED PRECEDING),
+                      a AS (PARTITION BY lang, source)),
+pt AS (SELECT *, tp / NULLIF(p, 0) AS recall, fp / NULLIF(n, 0) AS fall, tp / (tp + fp) AS prec,
+              COALESCE((tp - pos) / NULLIF(tp + fp - pos - neg, 0), tp / (tp + fp)) AS prec0 FROM cum)
+SELECT lang, source, CAST(SUM(pos + neg) AS BIGINT) AS rows,
+       ROUND(SUM(neg / NULLIF(n, 0) * (recall + recall - pos / NULLIF(p, 0)) / 2), 6) AS "areaUnderROC",
+       ROUND(SUM(pos / NULLIF(p, 0) * (prec + prec0) / 2), 6) AS "areaUnderPR" FROM pt GROUP BY lang, source"""
+)
+
+SPOILT = """
+WITH k AS (SELECT *, c_custkey % 25 = 7 AS short, c_custkey % 25 <> 7 AND c_custkey % 90 = 45 AS long,
+       CASE WHEN c_custkey % 40 = 11 THEN 'none' ELSE CAST(c_nationkey AS VARCHAR) END AS nation,
+       CASE WHEN c_custkey % 10 = 3 THEN '12,5' ELSE CAST(c_acctbal AS VARCHAR) END AS balance FROM customer)
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "scan_csv": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+        "scan_csv_rejects": f"""{SPOILT}
+            SELECT c_custkey, CAST(NULL AS VARCHAR) AS "column", CASE WHEN short THEN c_custkey || ',' || c_name
+                ELSE c_custkey || ',' || c_name || ',' || nation || ',"' || balance || '",more' END AS text, 'line' AS reason
+            FROM k WHERE short OR long
+            UNION ALL SELECT c_custkey, 'c_nationkey', nation, 'field' FROM k WHERE NOT short AND c_custkey % 40 = 11
+            UNION ALL SELECT c_custkey, 'c_acctbal', balance, 'field' FROM k WHERE NOT short AND c_custkey % 10 = 3""",
+        "scan_csv_checked": f"""{SPOILT} SELECT c_custkey, c_name,
+            CASE WHEN NOT short AND c_custkey % 40 <> 11 THEN CAST(c_nationkey AS INTEGER) END AS c_nationkey,
+            CASE WHEN NOT short AND c_custkey % 10 <> 3 THEN c_acctbal END AS c_acctbal FROM k""",
         "scan_table": "SELECT event_id, user_id, event_type, value FROM events",
         "write_partitioned": f"""{C360} SELECT segment, region, COUNT(*) AS customers,
             CAST(SUM(churn) AS BIGINT) AS churned FROM c GROUP BY segment, region""",
+        "write_repartitioned": "SELECT 5::BIGINT AS files, COUNT(*) AS rows_written FROM orders",
         "write_overwrite": "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer",
         "write_with_count": "SELECT COUNT(*) AS rows_written FROM orders",
         "write_if_absent": "SELECT c_custkey, c_mktsegment FROM customer",
         "publish_table": f"{C360} SELECT customer_id, segment, tenure, churn FROM c",
         "stream_ingest": LAST_EVENT,
         "stream_two_checkpoints": LAST_EVENT,
+        "upsert_buckets": LAST_EVENT,
         "stream_new_column": """SELECT user_id, event_id, event_type, CASE WHEN ts >=
             (SELECT MIN(ts) + (MAX(ts) - MIN(ts)) / 2 FROM events) THEN value END AS value
             FROM events QUALIFY ROW_NUMBER() OVER (
@@ -362,6 +503,7 @@ def oracles() -> dict[str, str]:
         "corr_matrix": corr_matrix(),
         "box_stats": box_stats(),
         "hist_by_label": hist_by_label(),
+        "density_by_label": density(),
         "kpi_metrics": f"""{C360} SELECT COUNT(*) AS total_customers,
             COUNT(*) FILTER (WHERE churn = 1) AS churned_customers,
             ROUND(100.0 * COUNT(*) FILTER (WHERE churn = 1) / COUNT(*), 2) AS churn_rate,
@@ -429,11 +571,16 @@ def oracles() -> dict[str, str]:
         "assemble": assemble(),
         "standard_scale": standard_scale(),
         "ml_features": ml_features(),
-        **{
-            f"predict_{a}": f"""{C360} {SPLIT_CTE} SELECT customer_id,
-                CAST(churn AS DOUBLE) AS label, TRUE AS valid FROM t WHERE part = 'test'"""
-            for a in ("gbt", "rfc", "dtc", "lr", "svc")
-        },
+        "sparse_slots": sparse_slots(),
+        "sparse_gradient": f"""{LINES} SELECT CAST(i - 1 AS INTEGER) AS slot, 0.0::DOUBLE AS gradient
+            FROM (SELECT UNNEST(range((SELECT COUNT(DISTINCT "order") + COUNT(DISTINCT status) + 3 FROM tr))) AS i)""",
+        "lr_gradient": f"""{scaled_slots()}
+            SELECT DISTINCT slot, 0.0::DOUBLE AS gradient FROM z UNION ALL SELECT -1, 0.0""",
+        "dtc_stump": f"""{SPLITS} SELECT "column", threshold, left_rows, right_rows, ROUND(gain, 6) AS gain FROM split""",
+        "dtc_best_split": f"""{SPLITS} SELECT "column", threshold, left_rows, right_rows, ROUND(gain, 6) AS gain FROM split
+            ORDER BY split.gain DESC, "column", threshold LIMIT 1""",
+        "permutation_importance": permutation_importance(),
+        "cv_scores_nb": cv_scores_nb(),
         "predict_nb": naive_bayes("part = 'test'"),
         "train_promote": "SELECT 'churn' AS name, 1 AS version",
         "score_champion": f"SELECT customer_id, prediction FROM ({naive_bayes('TRUE')})",
@@ -442,6 +589,7 @@ def oracles() -> dict[str, str]:
             AS pred_0, COUNT(*) FILTER (WHERE prediction = 1) AS pred_1 FROM s GROUP BY label""",
         "eval_metrics": EVAL_METRICS,
         "eval_auc": EVAL_AUC,
+        "eval_auc_by_segment": GROUPED_AUC,
         "promote_champion": f"""{RUNS} SELECT n.name, n.run_id, l.run_id AS champion_run,
             ROUND(n.metric, 6) AS new_metric, ROUND(o.metric, 6) AS old_metric,
             COALESCE(l.version IS NULL OR n.metric > o.metric * 1.1, FALSE) AS promoted,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,27 +14,35 @@ from tidemark.defaults import (
     SEED,
     TENURE_BINS,
     CleanConfig,
+    FOLDS,
     FeatureConfig,
     TrainConfig,
 )
-from tidemark.functions import BinSpec
+from tidemark.functions import BinSpec, hash_bucket
 from tidemark.operators import (
+    areas,
     clean,
     dashboard,
+    density,
     derive,
     engagement,
     evaluation,
     features,
+    importance,
     models,
     profile,
     quantiles,
     registry,
+    sparse,
     split,
+    stump,
+    validation,
 )
 from tidemark.plans import Home, score_with_champion, train_and_promote
 from tidemark.sinks import publish_table, save, save_counted, save_if_absent
 from tidemark.sources.batch import read_catalog_table, read_csv, read_table
 from tidemark.sources.files_stream import read_file_stream
+from tidemark.sources.rejects import parsed_rows, read_csv_checked, rejected
 from tidemark.sources.storage import workspace
 from tidemark.streaming.ingest import ingest_available
 from tidemark.streaming.upsert import UpsertTable, latest_per_key, upsert
@@ -73,6 +83,13 @@ def staged(df: DataFrame) -> DataFrame:
     return read_table(df.sparkSession, path)
 
 
+def staged_vectors(df: DataFrame) -> DataFrame:
+    """As ``staged``, for rows with a vector, whose type the files' own schema does not tell."""
+    path = workspace(df.sparkSession)
+    save(df, path)
+    return read_table(df.sparkSession, path, schema=df.schema)
+
+
 # Sources
 
 
@@ -85,6 +102,37 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
+def _spoilt_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as lines of text, some with fields of no number, some too short or too long."""
+    key = F.col("c_custkey")
+    fields = [
+        key.cast("string"),
+        F.col("c_name"),
+        F.when(key % 40 == 11, "none").otherwise(F.col("c_nationkey").cast("string")),
+        F.when(key % 10 == 3, "12,5").otherwise(F.col("c_acctbal").cast("string")),
+    ]
+    quoted_balance = [*fields[:3], F.concat(F.lit('"'), fields[3], F.lit('"'))]
+    line = (
+        F.when(key % 25 == 7, F.concat_ws(",", *fields[:2]))
+        .when(key % 90 == 45, F.concat_ws(",", *quoted_balance, F.lit("more")))
+        .otherwise(F.concat_ws(",", *quoted_balance))
+    )
+    path = workspace(spark)
+    table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
+    schema = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double"
+    return read_csv_checked(spark, path, schema, header=False)
+
+
+@query
+def scan_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected(_spoilt_customers(spark, sf_dir), ["c_custkey"])
+
+
+@query
+def scan_csv_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsed_rows(_spoilt_customers(spark, sf_dir))
+
+
 @query
 def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, f"{sf_dir}/events.parquet")
@@ -106,6 +154,14 @@ def write_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def write_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark)
+    save(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), path, repartition=5)
+    rows = read_table(spark, path).select("o_orderkey", F.input_file_name().alias("file"))
+    return rows.agg(F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("rows_written"))
+
+
 @query
 def write_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark)
@@ -190,6 +246,17 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, second, ["user_id"], order).select(*EVENT_COLUMNS)
 
 
+@query
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Halves of the events as batches, the first one folded into a copy; read bucket by bucket."""
+    held = UpsertTable(workspace(spark), key=("user_id",), order_by=("ts", "event_id"))
+    for number, batch in enumerate(split_events(spark, sf_dir)):
+        held.apply(batch, number)
+        if number == 0:
+            held.compact(spark)
+    return held.read(spark).select(*EVENT_COLUMNS)
+
+
 # Cleaning and projections
 
 
@@ -315,7 +382,17 @@ def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(quantiles.box_stats(customer_360(spark, sf_dir), "churn", MEASURES))
+    # Read once for each pass.
+    customers = staged(customer_360(spark, sf_dir).select("churn", *MEASURES))
+    return rounded(quantiles.box_stats(customers, "churn", MEASURES))
+
+
+@query
+def density_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["tenure", "balance", "last_interaction"]
+    customers = staged(customer_360(spark, sf_dir).select("churn", *columns))
+    found = density.density_by_label(customers, "churn", columns)
+    return found.select("churn", "column", "point", F.round("x", 6).alias("x"), F.round("density", 12).alias("density"))
 
 
 @query
@@ -560,6 +637,48 @@ def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(features.vector_slots(scaled, features.FEATURES, ["customer_id", "label"]))
 
 
+WIDE = FeatureConfig(key="line", label="label", wide=True)
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, labelled returned or not, with their order as a category of very many values."""
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"),
+        (F.col("l_returnflag") == "R").cast("double").alias("label"),
+        F.col("l_orderkey").cast("string").alias("order"),
+        F.col("l_linestatus").alias("status"),
+        F.col("l_quantity").cast("double").alias("quantity"),
+        F.col("l_extendedprice").cast("double").alias("price"),
+    )
+
+
+@query
+def sparse_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots other than 0 of all lines, by features fitted on the training part."""
+    lines = split.tag_split(_lines(spark, sf_dir), "line")
+    path = workspace(spark)
+    sparse.fit_sparse(lines.where("part = 'train'").drop("part"), WIDE, path)
+    found = sparse.load_sparse(spark, path).slots(lines)
+    return rounded(found.select("line", F.inline("slots")))
+
+
+@query
+def sparse_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log loss gradient in every slot of a wide model, saved and loaded with its index.
+
+    The training part is scored again through the saved index; at the optimum all is 0.
+    """
+    home, uid = workspace(spark), sparse.new_wide_uid()
+    train, _ = split.split_by_hash(_lines(spark, sf_dir), "line")
+    fitted = sparse.fit_sparse(train, WIDE, sparse.features_path(home, uid))
+    estimator = LogisticRegression(regParam=0.01, standardization=False, maxIter=500, tol=1e-10)
+    sparse.save_wide(estimator.fit(fitted.vectors(train).select("features", "label")), home, uid)
+    wide = sparse.load_wide(spark, home, uid)
+    gradient = evaluation.log_loss_gradient(wide.transform(train), wide.classifier)
+    # Rounding may leave a negative 0.
+    return gradient.select("slot", (F.round("gradient", 4) + 0.0).alias("gradient"))
+
+
 # Models
 
 
@@ -574,11 +693,7 @@ def _predict_with(algorithm: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         fitted, model, _, test = _train(spark, sf_dir, algorithm)
         scored = models.predict(model, fitted.transform(test))
-        if algorithm == "nb":
-            return scored.select("customer_id", "label", "prediction")
-        # What SQL can state of a searched or iterated fit: a class for every row of the part.
-        valid = F.col("prediction").isin(0.0, 1.0).alias("valid")
-        return scored.select("customer_id", "label", valid)
+        return scored.select("customer_id", "label", "prediction")
 
     return run
 
@@ -587,6 +702,39 @@ for _algorithm in models.ALGORITHMS:
     QUERIES[f"predict_{_algorithm}"] = _predict_with(_algorithm)
 
 
+@query
+def lr_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log loss gradient of the fitted logistic model over its training rows: 0 in every slot."""
+    fitted, model, train, _ = _train(spark, sf_dir, "lr")
+    entries = F.transform(vector_to_array("features"), lambda x, i: F.struct(i.alias("slot"), x.alias("value")))
+    scored = models.predict(model, fitted.transform(train)).withColumn("slots", entries)
+    gradient = evaluation.log_loss_gradient(scored, model)
+    return gradient.select("slot", (F.round("gradient", 3) + 0.0).alias("gradient"))
+
+
+COUNTED = ["tenure", "usage_frequency", "support_calls"]
+
+
+@query
+def dtc_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gain of every split that a tree of depth 1 chooses from."""
+    return rounded(stump.split_gains(customer_360(spark, sf_dir), "churn", COUNTED))
+
+
+@query
+def dtc_best_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gains = stump.split_gains(customer_360(spark, sf_dir), "churn", COUNTED)
+    return rounded(stump.best_split(gains))
+
+
+@query
+def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy on the test part that naive Bayes loses without each feature slot."""
+    fitted, model, _, test = _train(spark, sf_dir, "nb")
+    rows = staged_vectors(fitted.transform(test).select("customer_id", "label", "features"))
+    return rounded(importance.permutation_importance(model, rows, model.numFeatures, "customer_id"))
+
+
 @query
 def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = workspace(spark)
@@ -638,6 +786,18 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.cv_scores(spark, search, "accuracy")
 
 
+@query
+def cv_scores_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of naive Bayes in each fold, all folds fitted from one aggregate."""
+    train, _ = _prepared(spark, sf_dir)
+    rows = features.fit_features(train, PREPARED).transform(train)
+    width = len(models.feature_names(rows))
+    folded = rows.select(
+        "label", vector_to_array("features").alias("values"), hash_bucket("customer_id", SEED, FOLDS).alias("fold")
+    )
+    return rounded(validation.gaussian_fold_scores(folded, "values", width, "label", "fold"))
+
+
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted, model, train, _ = _train(spark, sf_dir, "rfc")
@@ -663,6 +823,12 @@ def eval_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluation.area_metrics_frame(scored))
 
 
+@query
+def eval_auc_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas for the documents of each language and source."""
+    return rounded(areas.grouped_areas(scored_labels(spark, sf_dir), ["lang", "source"]))
+
+
 # Registry
 
 
