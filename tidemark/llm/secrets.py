@@ -3,8 +3,10 @@
 The base patterns find assignments, access keys and runs of hex digits. Beyond them, the
 value after any credential word is rated by how many guesses it would take: the cheapest
 segmentation into dictionary words, dates, repeats, keyboard walks and brute-force
-characters, found by dynamic programming over its positions. Values that are costly
-enough are secrets of kind ``guess``.
+characters, found by dynamic programming over its positions. A value is a secret of kind ``guess``
+if that takes enough guesses, and if it is not much cheaper than trying its characters one
+by one: addresses, paths and identifiers made of words are long, not random. No value is too short
+or too long to be rated.
 
 Null and empty texts hold none. Each row gets a row, whatever its id.
 """
@@ -17,20 +19,21 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
-from math import log2
+from math import inf, log2
 
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import bytes_of, slices, texts_of
+from tidemark.llm.periods import word_runs
 
 KINDS = ("assign", "access", "hex", "guess")
-# Bits of guessing that make a value of at least so many characters a secret. At 36, of 400 random values each, 98% of
+# Bits of guessing that make a value a secret, and the least share they have in those of its characters alone. At 36, of 400 random values each, 98% of
 # 8 letters of both cases and digits are found, 84% of 8 small letters and digits, 61% of 8 small letters, and of 400 each no
 # word, two words joined, word with date or walk; at 38 it is 94, 70 and 0%, at 45 49, 0 and 0%.
 BITS = 36.0
-LEAST = 8
+SHARE = 0.7
 MARK = b"[SECRET]"
 
 # The base patterns and their least lengths.
@@ -44,7 +47,7 @@ ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_ke
 # A value ends at white space, or at its own quote if it has one; bytes beyond ASCII belong to it.
 CONTEXT = re.compile(
     rb"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|(?:api|access|private|secret)[_-]?key)"""
-    rb"""["']?\x20*[:=]\x20*(?:"([^"\x00-\x20\x7F]{8,})"|'([^'\x00-\x20\x7F]{8,})'|["']?([^"\x00-\x20\x7F]{8,}))""",
+    rb"""["']?\x20*[:=]\x20*(?:"([^"\x00-\x20\x7F]+)"|'([^'\x00-\x20\x7F]+)'|["']?([^"\x00-\x20\x7F]+))""",
     re.I,
 )
 CONTEXT_WORDS = (b"pass", b"pwd", b"secret", b"token", b"credential", b"auth", b"key")
@@ -59,9 +62,8 @@ ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrs
 LEET = str.maketrans("4@310$57!", "aaeiossti")
 
 VOCABULARY = "word_bpe_49k.json"
-# Characters that join words cost as much as ten choices; longest unit of a repeat.
+# Characters that join words cost as much as ten choices.
 JOINS = "-_./:"
-UNIT = 8
 _DATE = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d|(?:19|20)\d\d")
 _WALKS = {row[i : i + 3] for line in ROWS for row in (line, line[::-1]) for i in range(len(row) - 2)}
 
@@ -99,54 +101,74 @@ def _folded(value: str) -> str:
 
 
 def _repeats(low: str) -> list[tuple[int, int, int]]:
-    """``(start, end, period)`` of all stretches of two units or more, however long: for each period, where
-    a character equals the one a period before."""
-    out = []
-    for p in range(1, UNIT + 1):
-        since = p
-        for i in range(p, len(low) + 1):
-            if i == len(low) or low[i] != low[i - p]:
-                if i - since >= p:
-                    out.append((since - p, i, p))
-                since = i + 1
-    return out
-
-
-def guess_bits(value: str) -> float:
-    """Bits of the cheapest way to guess the value; one more for each further segment."""
+    """``(start, end, period)`` of all stretches of two units or more, however long, with their least period."""
+    (runs,) = word_runs([list(low)], 2)
+    return [(start, start + length, period) for start, length, period in runs.tolist()]
+
+
+def _meanings(value: str, low: str, plain: str, i: int) -> Iterator[tuple[int, float]]:
+    """Ends and bits of the words, dates and walks that begin at a place."""
+    n, ranks = len(value), _ranks()
+    for j in range(i + 3, min(n, i + _longest()) + 1):
+        for form, extra in ((low, 0.0), (plain, 1.0)):
+            if form[i:j] in ranks:
+                case = 0.0 if value[i:j].islower() else 1.0
+                yield j, log2(ranks[form[i:j]]) + extra + case
+                break
+    if m := _DATE.match(value, i):
+        yield m.end(), 6.9 if m.end() - i == 4 else 15.5
+    j = i + 3
+    while j <= n and low[j - 3 : j] in _WALKS:
+        yield j, 5.4 + log2(j - i)
+        j += 1
+
+
+def guess_bits(value: str, limit: float = inf, meaning: bool = True) -> float:
+    """Bits of the cheapest way to guess the value; one more for each further segment.
+
+    Without ``meaning`` there are no words, dates and walks: characters and repeats only.
+
+    Ends with what the first characters take where that is the ``limit`` already and no segment
+    reaches beyond them, since whatever follows only adds to it.
+    """
     n, low = len(value), _folded(value)
-    plain, ranks, longest = low.translate(LEET), _ranks(), _longest()
+    plain, ranks = low.translate(LEET), _ranks()
     each = _alphabet(value)
-    # Segments by their end: start and bits.
-    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    for i in range(n):
-        for j in range(i + 3, min(n, i + longest) + 1):
-            for form, extra in ((low, 0.0), (plain, 1.0)):
-                if form[i:j] in ranks:
-                    case = 0.0 if value[i:j].islower() else 1.0
-                    ends[j].append((i, log2(ranks[form[i:j]]) + extra + case))
-                    break
-        if m := _DATE.match(value, i):
-            ends[m.end()].append((i, 6.9 if m.end() - i == 4 else 15.5))
-        j = i + 3
-        while j <= n and low[j - 3 : j] in _WALKS:
-            ends[j].append((i, 5.4 + log2(j - i)))
-            j += 1
-    # A repeat begins at any place of its unit and takes all whole units; the unit may be a word.
+    # A repeat begins at any place of its unit and takes all whole units. The unit where it first begins is
+    # rated like a value; elsewhere it may be a word.
+    repeats: dict[int, list[tuple[int, float]]] = {}
     for start, end, p in _repeats(low):
         for i in range(start, min(start + p, end - 2 * p + 1)):
             last = i + (end - i) // p * p
             unit = low[i : i + p]
-            bits = min(each * p, log2(ranks[unit]) if unit in ranks else each * p)
-            ends[last].append((i, bits + log2((last - i) / p)))
-    best = [0.0] * (n + 1)
-    for j in range(1, n + 1):
-        best[j] = best[j - 1] + (log2(10) if value[j - 1] in JOINS else each)
-        for i, bits in ends[j]:
+            bits = min(each * p, log2(ranks[unit]) if meaning and unit in ranks else each * p)
+            if i == start:
+                bits = min(bits, guess_bits(value[i : i + p], meaning=meaning))
+            repeats.setdefault(i, []).append((last, bits + log2((last - i) / p)))
+    best = [0.0] + [inf] * n
+    reach = 0
+    for i in range(n):
+        if i >= reach and best[i] >= limit:
+            return best[i]
+        best[i + 1] = min(best[i + 1], best[i] + (log2(10) if value[i] in JOINS else each))
+        ends = repeats.get(i, [])
+        if meaning:
+            ends += _meanings(value, low, plain, i)
+        for j, bits in ends:
             best[j] = min(best[j], best[i] + bits + 1)
+            reach = max(reach, j)
     return best[n]
 
 
+def is_secret(value: str, bits: float = BITS, share: float = SHARE) -> bool:
+    if len(value) * max(_alphabet(value), log2(10)) < bits:
+        return False
+    # What has words in it must not be cheap for its length.
+    plain = guess_bits(value, meaning=False)
+    least = max(bits, share * plain)
+    return plain >= bits and guess_bits(value, least) >= least
+
+
 _HEX_MAP = bytes(1 if chr(i) in "0123456789abcdef" else 0 for i in range(256))
 _HEX_RUN = b"\x01" * 16
 
@@ -170,7 +192,7 @@ def find(text: bytes, bits: float = BITS) -> list[tuple[str, int, int, int, int]
             if group == 3:
                 value = value.rstrip(b".,;:)]}'")
             shown = value.decode("utf-8", "replace")
-            if len(shown) >= LEAST and guess_bits(shown) >= bits:
+            if is_secret(shown, bits):
                 end = m.start(group) + len(value)
                 found.append(("guess", m.start(group), end, m.start(group), end))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
