@@ -6,6 +6,12 @@ array per bucket of hash values; a bucket judges the arrays of all batches toget
 answers each with one byte per entry, in the order they came. A string that half the
 texts hold costs one entry a batch, and buckets are as many as the corpus needs for each
 to stay of one size.
+
+A batch never sends to more than ``FANOUT`` places, or arrays would become ever more and ever
+smaller as batches and buckets both grow. Where there are more buckets, it sends to ranges of
+them; about as many batches' arrays for a range are merged to one of a batch's size, which sends
+on within the range, level after level. Answers go back the same way: what was merged is kept,
+and merged again to tell whose each answer is. So arrays grow in number as the texts do.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from tidemark.llm.rolling import byte_prefix
 BATCH_BYTES = 3 << 20
 # Text behind one bucket; with a hash every byte it would receive about so many entries.
 BUCKET_BYTES = 6 << 20
+FANOUT = 256
 
 
 @dataclass
@@ -127,56 +134,114 @@ def asked(
     ``judge(hashes, extras, batches)`` returns a byte for each entry of a bucket. ``short``
     sends the lower half of the hashes only, for answers that may err on the side of yes.
     """
-    kind = "<u4" if short else "<u8"
+    levels = _levels(count)
 
     def send(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in incoming:
             for row in _each(rows):
                 hashes, more = make(_open(row), *_told(row))
-                if not len(hashes):
-                    continue
-                at = ((hashes >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
-                cuts = np.searchsorted(at, np.arange(count + 1, dtype=np.uint64))
-                some = np.flatnonzero(np.diff(cuts))
-                sent = hashes.astype(kind)
-                more = np.ascontiguousarray(more.astype(extra))
-                width = more.dtype.itemsize
-                # Bytes of equal place together: the high ones of ids are mostly alike.
-                planes = [more[a:b].view(np.uint8).reshape(-1, width).T.tobytes() for a, b in zip(cuts[some], cuts[some + 1])]
-                yield pa.record_batch(
-                    [
-                        pa.array(some.astype(np.int32)),
-                        pa.array(np.full(len(some), row["batch"], dtype=np.int64)),
-                        pa.array([sent[a:b].tobytes() for a, b in zip(cuts[some], cuts[some + 1])], pa.binary()),
-                        pa.array(planes, pa.binary()),
-                    ],
-                    ["bucket", "batch", "hashes", "more"],
-                )
-
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("batch")
-        hashes = [np.frombuffer(h, dtype=kind) for h in rows["hashes"]]
-        sizes = [len(h) for h in hashes]
-        width = np.dtype(extra).itemsize
-        more = [np.ascontiguousarray(np.frombuffer(m, np.uint8).reshape(width, -1).T).view(extra).ravel() for m in rows["more"]]
-        owners = np.repeat(np.arange(len(rows)), sizes)
-        flags = judge(np.concatenate(hashes), np.concatenate(more), owners).astype(np.uint8)
-        cuts = np.concatenate(([0], np.cumsum(sizes)))
-        return pd.DataFrame(
-            {
-                "batch": rows["batch"].to_numpy(),
-                "bucket": rows["bucket"].to_numpy(),
-                "flags": [flags[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
-            }
-        )
-
-    sent = held.mapInArrow(send, "bucket int, batch long, hashes binary, more binary")
-    told = sent.groupBy("bucket").applyInPandas(answer, "batch long, bucket int, flags binary")
-    # As many parts as there are buckets, each a byte for every entry of the batch.
-    told = stored(told.groupBy("batch").agg(F.collect_list(F.struct("bucket", "flags")).alias(name)))
+                if len(hashes):
+                    more = np.ascontiguousarray(more.astype(extra))
+                    yield pa.RecordBatch.from_pandas(_cut(row["batch"], hashes, more, count, levels[0], short and len(levels) == 1), preserve_index=False)
+
+    sent = held.mapInArrow(send, SENT)
+    batches = held.count() if len(levels) > 1 else 0
+    told = _judged(sent, batches, count, levels, judge, extra, short)
+    # At most as many parts as a batch sends to, each a byte for every entry of the batch.
+    told = stored(
+        told.withColumnRenamed("unit", "batch").groupBy("batch").agg(F.collect_list(F.struct(F.col("slot").alias("bucket"), "flags")).alias(name))
+    )
     return held.join(told, "batch", "left")
 
 
+SENT = "unit long, slot long, hashes binary, more binary"
+ANSWERED = "unit long, slot long, flags binary"
+
+
+def _levels(count: int) -> list[int]:
+    """Buckets behind one slot at each level, the last 1; a slot leads on to ``FANOUT`` at most."""
+    levels = [1]
+    while count > levels[0] * FANOUT:
+        levels.insert(0, levels[0] * FANOUT)
+    return levels
+
+
+def _cut(unit: int, hashes: np.ndarray, more: np.ndarray, count: int, behind: int, short: bool) -> pd.DataFrame:
+    """Sorted hashes and what goes with them, an array for each slot of ``behind`` buckets that they fall in."""
+    at = (((hashes >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)) // np.uint64(behind)
+    starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    ends = [*starts[1:].tolist(), len(at)]
+    sent = hashes.astype("<u4" if short else "<u8")
+    width = more.dtype.itemsize
+    # Bytes of equal place together: the high ones of ids are mostly alike.
+    planes = [more[a:b].view(np.uint8).reshape(-1, width).T.tobytes() for a, b in zip(starts.tolist(), ends)]
+    return pd.DataFrame(
+        {
+            "unit": np.full(len(starts), unit, dtype=np.int64),
+            "slot": at[starts].astype(np.int64),
+            "hashes": [sent[a:b].tobytes() for a, b in zip(starts.tolist(), ends)],
+            "more": planes,
+        }
+    )
+
+
+def _opened(rows: pd.DataFrame, extra: str, short: bool) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Hashes, what goes with them, and the number of entries of each row."""
+    hashes = [np.frombuffer(h, dtype="<u4" if short else "<u8") for h in rows["hashes"]]
+    width = np.dtype(extra).itemsize
+    more = [np.ascontiguousarray(np.frombuffer(m, np.uint8).reshape(width, -1).T).view(extra).ravel() for m in rows["more"]]
+    return np.concatenate(hashes), np.concatenate(more), [len(h) for h in hashes]
+
+
+def _parted(flags: np.ndarray, sizes: list[int]) -> list[bytes]:
+    cuts = np.concatenate(([0], np.cumsum(sizes)))
+    return [flags[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
+def _judged(
+    sent: DataFrame, units: int, count: int, levels: list[int], judge: Callable[..., np.ndarray], extra: str, short: bool
+) -> DataFrame:
+    """``(unit, slot, flags)`` for every row of ``sent``, whose slots are those of the first level.
+
+    About ``units`` units send to any one slot.
+    """
+    if len(levels) == 1:
+
+        def answer(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values("unit")
+            hashes, more, sizes = _opened(rows, extra, short)
+            flags = judge(hashes, more, np.repeat(np.arange(len(rows)), sizes)).astype(np.uint8)
+            return pd.DataFrame({"unit": rows["unit"].to_numpy(), "slot": rows["slot"].to_numpy(), "flags": _parted(flags, sizes)})
+
+        return sent.groupBy("slot").applyInPandas(answer, ANSWERED)
+
+    # About FANOUT units meet in a chunk, so that what is merged for a slot is of a unit's size again.
+    chunks = max(1, -(-units // FANOUT))
+    sent = stored(sent.withColumn("chunk", F.pmod(F.xxhash64("unit"), F.lit(chunks)).cast("long")))
+
+    def merged(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        rows = rows.sort_values("unit")
+        hashes, more, sizes = _opened(rows, extra, False)
+        return rows, hashes, more, np.argsort(hashes, kind="stable"), sizes
+
+    def onward(rows: pd.DataFrame) -> pd.DataFrame:
+        unit = int(rows["slot"].iloc[0]) * chunks + int(rows["chunk"].iloc[0])
+        _, hashes, more, order, _ = merged(rows)
+        return _cut(unit, hashes[order], more[order], count, levels[1], short and len(levels) == 2)
+
+    def back(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        rows, hashes, _, order, sizes = merged(rows)
+        flags = np.empty(len(hashes), dtype=np.uint8)
+        flags[order] = np.frombuffer(b"".join(told.sort_values("slot")["flags"]), dtype=np.uint8)
+        return pd.DataFrame({"unit": rows["unit"].to_numpy(), "slot": rows["slot"].to_numpy(), "flags": _parted(flags, sizes)})
+
+    told = _judged(sent.groupBy("slot", "chunk").applyInPandas(onward, SENT), chunks, count, levels[1:], judge, extra, short)
+    told = told.select(
+        (F.col("unit") % chunks).alias("to_chunk"), F.floor(F.col("unit") / chunks).cast("long").alias("to_slot"), "slot", "flags"
+    )
+    return sent.groupBy("slot", "chunk").cogroup(told.groupBy("to_slot", "to_chunk")).applyInPandas(back, ANSWERED)
+
+
 def finished(held: DataFrame, result: Callable[..., pa.RecordBatch], schema: str) -> DataFrame:
     """The rows of ``result(texts, *told)`` for every batch."""
 

@@ -1,22 +1,23 @@
 """Exact substring deduplication by refining buckets of suffixes.
 
 Every byte string of 400 that starts in two places, anywhere in the corpus, is removed at
-each place. Suffixes that could share so much are put in buckets by the hash of a q-gram of
-200 bytes, and buckets are refined until what stays together shares the whole string:
-
-* Suffixes start at sampled places: of the q-gram places in a string of 400 bytes, the one with
-  the least hash, so equal strings are sampled at the same place within them. A place
+each place. Suffixes are put in buckets by their first q-gram of 50 bytes. A bucket is
+refined by the bucket identifiers of its suffixes' later offsets: those of 50 bytes on tell apart what
+differs within 100, and the identifiers so refined, taken 100 and then 200 bytes on, do the rest up to 400.
+Identifiers are 64-bit names of (identifier, identifier of the later offset), so that every batch of
+texts gives equal buckets equal names without asking; what it asks is which buckets others have too:
+
+* Suffixes start at sampled places: of the places in a string where its 200 bytes could begin, the one
+  of least identifier, so equal strings are sampled at the same place within them. A place
   stands for all the strings that chose it, a run of neighbouring starts.
-* First refinement: buckets of one suffix are finished, nothing else has them. Within a
-  bucket, suffixes are told apart by the identifier of all that their strings cover, to
-  the left and to the right. What is still together is a repeat throughout.
-* Second refinement: in buckets that fell apart, one suffix of each part and all that
-  stand alone go on, each start by itself, with the identifier of its 400 bytes. Parts that
-  are settled send one member for all.
+* After two refinements (200 bytes): buckets of one suffix are finished, nothing else has them. Within a
+  bucket, suffixes are sorted by the identifiers at the ends of all that their strings cover. What
+  is still together is a repeat throughout.
+* After the third (400 bytes): in buckets that fell apart, one suffix of each part and all that
+  stand alone go on, each start by itself. Parts that are settled send one member for all.
 
-The refinement is by hashes of later offsets, exchanged in packed arrays (``exchange``). A
-full suffix array would move every suffix of the corpus several times; sampling keeps it to one
-in about a hundred. Strings are compared by 64-bit hashes.
+Buckets are compared in packed arrays (``exchange``). Sampling keeps them to one suffix
+in about a hundred: an identifier for every byte would be eight times the corpus.
 
 Null texts count as empty. Rows with equal ids are texts of their own.
 """
@@ -30,12 +31,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.exchange import Made, Texts, asked, batches, buckets, finished
-from tidemark.llm.rolling import mix, ranges, sliding_argmin, windows
+from tidemark.llm.rolling import mix, sliding_argmin, windows
 
 STRING = 400
+# Bytes of the first buckets, and of those that suffixes are sampled by.
+FIRST = 50
 GRAM = 200
 
 
+class Identifiers:
+    """Bucket identifiers of all suffixes of a batch, at each depth that refinement has reached."""
+
+    def __init__(self, sums: np.ndarray, first: int, depth: int) -> None:
+        # Short strings begin with short q-grams.
+        first = max(1, min(first, depth))
+        self.depths, self.names = [first], [windows(sums, first)]
+        while 2 * self.depths[-1] <= depth:
+            step, last = self.depths[-1], self.names[-1]
+            # The identifiers of the suffixes that start a depth later, which are as refined.
+            later = last[step:]
+            self.names.append(mix(last[: len(later)] ^ mix(later + np.uint64(step))))
+            self.depths.append(2 * step)
+
+    def at(self, starts: np.ndarray, length: int) -> np.ndarray:
+        """Identifiers of the strings of one length, at least the first depth, from the given starts."""
+        k = max(i for i, d in enumerate(self.depths) if d <= length)
+        depth, names = self.depths[k], self.names[k]
+        if depth == length:
+            return names[starts]
+        return mix(names[starts] ^ mix(names[starts + (length - depth)] + np.uint64(length)))
+
+    def all(self, length: int) -> np.ndarray:
+        return self.at(np.arange(max(0, len(self.names[0]) + self.depths[0] - length)), length)
+
+
 class Suffixes:
     """The sampled suffixes of a batch: q-gram and identifier, first and last start that chose them."""
 
@@ -45,15 +74,18 @@ class Suffixes:
         # All starts of strings that stay in their text.
         skip = np.repeat(texts.starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
         starts = np.arange(lengths.sum()) + skip
-        hashes = windows(self.sums, gram)
+        self.identifiers = Identifiers(self.sums, min(FIRST, gram), size)
+        hashes = self.identifiers.all(gram)
         chosen = sliding_argmin(hashes, size - gram + 1)[starts] if len(starts) else starts
         doc = np.repeat(np.arange(len(lengths)), lengths)
         new = np.flatnonzero((np.diff(chosen, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
         self.first = starts[new]
         self.last = starts[np.concatenate((new[1:], [len(starts)])) - 1] if len(new) else new
         self.gram = hashes[chosen[new]]
-        covered = ranges(self.sums, self.first, self.last + size)
-        self.name = mix(covered ^ mix((chosen[new] - self.first).astype(np.uint64) + np.uint64(1)))
+        # The strings from the first and the last start overlap, so together they cover all.
+        ends = mix(self.identifiers.at(self.first, size) ^ mix(self.identifiers.at(self.last, size) + np.uint64(1)))
+        places = (self.last - self.first).astype(np.uint64) << np.uint64(32) | (chosen[new] - self.first).astype(np.uint64)
+        self.name = mix(ends ^ mix(places + np.uint64(1)))
         order = np.lexsort((self.name, self.gram))
         g, n = self.gram[order], self.name[order]
         fresh = np.ones(len(order), dtype=bool)
@@ -115,7 +147,7 @@ def _deduplicated(docs: DataFrame, size: int, gram: int, digest: bool) -> DataFr
     def single(s: Suffixes, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         on = np.flatnonzero(flags[s.entry_of] & 2) if len(flags) else np.empty(0, np.int64)
         starts = _spread(s.first[on], s.last[on])
-        return starts, ranges(s.sums, starts, starts + size)
+        return starts, s.identifiers.at(starts, size)
 
     def second(texts: Texts, flags: np.ndarray) -> Made:
         _, hashes = single(Suffixes(texts, size, gram), flags)
