@@ -1,7 +1,8 @@
 """Chat formatting with Spark expressions only.
 
 The turns of a conversation are collected as structs and sorted; adjacent turns of one role
-are merged by array aggregation into one message, and messages are concatenated:
+are merged into one message by array aggregation, over the places where the role changes, and
+messages are concatenated:
 
     <|im_start|>role\\ntext<|turn|>text<|im_end|>\\n
 
@@ -10,12 +11,18 @@ in a text becomes two, and ``<|`` becomes ``<\\|``, which reading undoes. In rol
 feeds and ``<`` are percent-encoded. The loss mask lists where the assistant's texts stand,
 in code points of the formatted string, each turn's text on its own.
 
+Arrays are never grown one entry at a time over a whole conversation, and strings are not cut from
+their start for every span: both happen in blocks of about the square root of the number of turns, so a
+conversation of many thousand turns costs little more than as many short ones.
+
 Null texts and roles count as empty. Turns with equal numbers are ordered by role and text;
 a null turn comes first. Rows with a null conv_id form one conversation.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,20 +55,51 @@ def unescape_role(role: Column) -> Column:
     return role
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often and deep within loops it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+_MESSAGES = "array<struct<role:string,texts:array<string>>>"
+
+
 def _merged(turns: Column) -> Column:
-    """Messages ``(role, texts)``: runs of turns with one role."""
-    empty = F.array().cast("array<struct<role:string,texts:array<string>>>")
-
-    def add(done: Column, turn: Column) -> Column:
-        last = F.element_at(done, -1)
-        fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        longer = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        merges = (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["role"] == turn["role"])
-        return F.when(merges, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(
-            F.concat(done, F.array(fresh))
-        )
+    """Messages ``(role, texts)``: runs of turns with one role, cut out where the role changes."""
+    places = F.filter(
+        F.sequence(F.lit(1), F.size(turns)),
+        lambda i: (i == 1) | (F.element_at(turns, i)["role"] != F.element_at(turns, F.greatest(i - 1, F.lit(1)))["role"]),
+    )
+
+    def messages(held: Column) -> Column:
+        def message(at: Column, k: Column) -> Column:
+            after = F.coalesce(F.get(held, k + 1), F.size(turns) + 1)
+            run = F.slice(turns, at, after - at)
+            return F.struct(F.element_at(turns, at)["role"].alias("role"), F.transform(run, lambda t: t["text"]).alias("texts"))
 
-    return F.aggregate(turns, empty, add)
+        return F.transform(held, message)
+
+    return _bound(places, messages).cast(_MESSAGES)
+
+
+def _block(entries: Column) -> Column:
+    """Entries in a block, about the square root of how many there are."""
+    return F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(entries)))).cast("int")
+
+
+def _blocks(entries: Column) -> Column:
+    """The entries in blocks, an array of arrays."""
+    starts = F.when(F.size(entries) > 0, F.sequence(F.lit(1), F.size(entries), _block(entries)))
+    cut = F.transform(starts, lambda i: F.slice(entries, i, _block(entries)))
+    return F.coalesce(cut, F.filter(F.array(entries), lambda _: F.lit(False)))
+
+
+def _sums(numbers: Column) -> Column:
+    """The sums of the first 0, 1, ... numbers."""
+    return F.aggregate(
+        numbers,
+        F.array(F.lit(0).cast("long")),
+        lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)),
+    )
 
 
 def format_conversations(turns: DataFrame, assistant: str = ASSISTANT) -> DataFrame:
@@ -94,48 +132,66 @@ def format_conversations(turns: DataFrame, assistant: str = ASSISTANT) -> DataFr
         return F.concat(F.flatten(bodies), closing).cast(piece)
 
     cut = messages.select("conv_id", F.flatten(F.transform("messages", pieces)).alias("pieces"))
-    mask = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p["text"])).alias("at"),
-            F.when(
-                p["loss"],
-                F.concat(
-                    a["spans"],
-                    F.array(F.struct(a["at"].alias("start"), F.length(p["text"]).cast("long").alias("length"))),
-                ),
-            )
-            .otherwise(a["spans"])
-            .alias("spans"),
-        ),
-        lambda a: a["spans"],
-    )
     return cut.select(
         "conv_id",
         F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"),
-        mask.alias("loss_mask"),
+        _bound(_blocks(F.col("pieces")), _loss_spans).alias("loss_mask"),
     )
 
 
+def _loss_spans(blocks: Column) -> Column:
+    """Start and length of the pieces that the loss counts, by sums within each block and of those before."""
+
+    def placed(inner: Column) -> Column:
+        def spans(outer: Column) -> Column:
+            def block(pieces: Column, k: Column) -> Column:
+                def span(p: Column, i: Column) -> Column:
+                    start = F.get(outer, k) + F.get(F.get(inner, k), i)
+                    return F.when(p["loss"], F.struct(start.alias("start"), F.length(p["text"]).cast("long").alias("length")))
+
+                return F.array_compact(F.transform(pieces, span))
+
+            return F.flatten(F.transform(blocks, block))
+
+        return _bound(_sums(F.transform(inner, lambda s: F.element_at(s, -1))), spans)
+
+    sums = F.transform(blocks, lambda b: _sums(F.transform(b, lambda p: F.length(p["text"]).cast("long"))))
+    return _bound(sums, placed)
+
+
 def read_turns(formatted: Column) -> Column:
     """The turns ``(role, text)`` of a formatted string, as they were before merging."""
-    closed = F.split(formatted, r"<\|im_end\|>\n")
-    messages = F.slice(closed, 1, F.size(closed) - 1)
 
     def turns(message: Column) -> Column:
         role = unescape_role(F.substring_index(F.substr(message, F.lit(len(START) + 1)), "\n", 1))
         body = F.substr(message, F.locate("\n", message) + 1)
-        return F.transform(
-            F.split(body, r"<\|turn\|>"), lambda t: F.struct(role.alias("role"), unescape(t).alias("text"))
+        return _bound(
+            role,
+            lambda r: F.transform(F.split(body, r"<\|turn\|>"), lambda t: F.struct(r.alias("role"), unescape(t).alias("text"))),
         )
 
-    return F.flatten(F.transform(messages, turns))
+    def messages(closed: Column) -> Column:
+        return F.flatten(F.transform(F.slice(closed, 1, F.size(closed) - 1), turns))
+
+    return _bound(F.split(formatted, r"<\|im_end\|>\n"), messages)
 
 
 def loss_text(formatted: Column, mask: Column) -> Column:
     """All text under the mask, unescaped."""
-    parts = F.transform(
-        mask, lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))
-    )
-    return F.array_join(parts, "")
+    return _bound(F.struct(formatted.alias("text"), _blocks(mask).alias("blocks")), lambda h: _masked(h["text"], h["blocks"]))
+
+
+def _masked(formatted: Column, blocks: Column) -> Column:
+    def block(spans: Column) -> Column:
+        first, last = spans[0], F.element_at(spans, -1)
+        stretch = F.substr(formatted, (first["start"] + 1).cast("int"), (last["start"] + last["length"] - first["start"]).cast("int"))
+
+        def parts(held: Column) -> Column:
+            return F.transform(
+                spans,
+                lambda s: unescape(F.substr(held, (s["start"] - first["start"] + 1).cast("int"), s["length"].cast("int"))),
+            )
+
+        return F.array_join(_bound(stretch, parts), "")
+
+    return F.array_join(F.transform(blocks, block), "")
