@@ -9,7 +9,8 @@ nearest neighbours vote with their similarity.
 
 Null and empty texts have no terms; they get the prior, the share of good texts in the
 sample. Rows keep their order and number; ids may repeat or be null. Labels that are
-null take no part; without any labelled text every score is 0.5.
+null take no part; a text with several labels counts as good if most of them say so, and as bad
+if they are split. Without any labelled text every score is 0.5.
 """
 
 from __future__ import annotations
@@ -64,15 +65,24 @@ def terms(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((found, levels)), np.concatenate((counts[found], np.full(2, len(text) / 8)))
 
 
-def _rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Damped term weights of the texts as dense rows, and which rows have any."""
-    out = np.zeros((len(texts), TERMS + REPEAT_TERMS), dtype=np.float32)
-    for i, text in enumerate(texts):
-        found, counts = terms(text)
-        out[i, found] = np.sqrt(counts)
+def _damped(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Term ids and damped weights of one whole text."""
+    found, counts = terms(text)
+    return found, np.sqrt(counts).astype(np.float32)
+
+
+def _dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Term ids and weights as dense rows, and which rows have any."""
+    out = np.zeros((len(rows), TERMS + REPEAT_TERMS), dtype=np.float32)
+    for i, (found, weights) in enumerate(rows):
+        out[i, found] = weights
     return out, out.any(axis=1)
 
 
+def _rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return _dense([_damped(t) for t in texts])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(x, axis=1, keepdims=True)
     return x / np.where(norm > 0, norm, 1)
@@ -103,9 +113,9 @@ class Model:
         return np.clip(out, 0, 1)
 
 
-def fit(texts: list[bytes], labels: list[int], prior: float, dimensions: int = DIMENSIONS) -> Model:
-    """Term weights, latent space and labelled vectors of the sample."""
-    raw, some = _rows(texts)
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], prior: float, dimensions: int = DIMENSIONS) -> Model:
+    """Term weights, latent space and labelled vectors of the sample, given as term ids and weights."""
+    raw, some = _dense(rows)
     raw, labels = raw[some], np.asarray(labels, dtype=float)[some]
     if not len(raw):
         return Model(np.ones(1), np.ones((1, 1)), np.ones((0, 1)), labels, prior)
@@ -125,9 +135,12 @@ def fit(texts: list[bytes], labels: list[int], prior: float, dimensions: int = D
 def train(docs: DataFrame, labels: DataFrame, train_on: Column, sample: int = SAMPLE) -> Model:
     """A model from at most ``sample`` labelled texts, picked by hash, half from each label.
 
-    Only the sample's texts are read into terms; the sample is bounded by its parameter.
+    The sample is bounded by its parameter, and its texts become terms where they are: at most
+    ``TERMS`` numbers a text, however long, come to the driver.
     """
-    known = labels.where(train_on & F.col("quality").isin(0, 1)).select("doc_id", "quality").dropDuplicates(["doc_id"])
+    # Conflicting labels: the majority, and 0 if they are split.
+    known = labels.where(train_on & F.col("quality").isin(0, 1)).groupBy("doc_id")
+    known = known.agg((F.avg("quality") > 0.5).cast("int").alias("quality"))
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     good, bad = counts.get(1, 0), counts.get(0, 0)
     prior = good / (good + bad) if good + bad else 0.5
@@ -139,11 +152,28 @@ def train(docs: DataFrame, labels: DataFrame, train_on: Column, sample: int = SA
     # At most `sample` ids, so this side is bounded whatever the corpus.
     found = bytes_of(docs, "doc_id").join(F.broadcast(picked), "doc_id")
     bounded = found.groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min("text").alias("text"))
-    raws, marks = [], []
-    for row in bounded.orderBy("doc_id").toLocalIterator():
-        raws.append(bytes(row["text"] or b""))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                rows = [_damped(t) for t in texts_of(part)]
+                yield pa.record_batch(
+                    [
+                        part.column("doc_id"),
+                        part.column("quality"),
+                        pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())),
+                        pa.array([r[1] for r in rows], pa.list_(pa.float32())),
+                    ],
+                    ["doc_id", "quality", "found", "weights"],
+                )
+
+    kind = bounded.schema["doc_id"].dataType.simpleString()
+    sampled = bounded.mapInArrow(run, f"doc_id {kind}, quality int, found array<int>, weights array<float>")
+    rows, marks = [], []
+    for row in sampled.orderBy("doc_id").toLocalIterator():
+        rows.append((np.array(row["found"], dtype=np.int64), np.array(row["weights"], dtype=np.float32)))
         marks.append(int(row["quality"]))
-    return fit(raws, marks, prior)
+    return fit(rows, marks, prior)
 
 
 def score(docs: DataFrame, model: Model, columns: list[str], name: str = "score") -> DataFrame:

@@ -29,10 +29,11 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, stored, texts_of
+from tidemark.llm.running import with_running_totals
 
 SEQUENCE = 4096
 WINDOW = SEQUENCE
@@ -115,11 +116,14 @@ class WordTokens:
         ]
 
 
-def tokenized(docs: DataFrame, path: str, end: int = END) -> DataFrame:
-    """``(doc_id, source, part, start, n, ids)``: ids as two-byte numbers; start within part and source."""
+def tokenized(docs: DataFrame, path: str | None = None, end: int = END) -> DataFrame:
+    """``(doc_id, source, part, start, n, ids)``: ids as two-byte numbers; start within part and source.
+
+    Each task finds the vocabulary on its own machine, unless a path is given.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path)
+        tokens = WordTokens(path or public_tokenizers.path(VOCABULARY))
         part_id = TaskContext.get().partitionId()
         closing = np.array([end], dtype="<u2").tobytes()
         filled: dict[str, int] = {}
@@ -184,7 +188,7 @@ def _weights(sources: DataFrame, weights: Mapping[str, float] | None) -> DataFra
     spark = sources.sparkSession
     given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "source string, given double")
     joined = sources.join(given, "source", "left")
-    others = F.sum(F.when(F.col("given").isNull(), F.col("tokens"))).over(Window.partitionBy(F.lit(0)))
+    others = joined.agg(F.sum(F.when(F.col("given").isNull(), F.col("tokens")))).scalar()
     left = max(0.0, 1 - sum(weights.values()))
     share = F.coalesce("given", F.col("tokens") / others * left)
     # Sources without a share come last and are packed too.
@@ -192,32 +196,35 @@ def _weights(sources: DataFrame, weights: Mapping[str, float] | None) -> DataFra
     return joined.select("source", "tokens", whole.alias("weight"))
 
 
-def queues(tokens: DataFrame, window: int = WINDOW, weights: Mapping[str, float] | None = None) -> DataFrame:
-    """``(source, part, base, phases)``: tokens before a part in its queue, and the queue's phases. One row
-    per source and part."""
-    parts = tokens.groupBy("source", "part").agg(F.sum("n").alias("n"))
-    sources = _weights(parts.groupBy("source").agg(F.sum("n").alias("tokens")), weights)
-    # One row per source meets here, with its total; ties for the largest go to the later name.
-    every = Window.partitionBy(F.lit(0))
-    largest = F.max(F.struct("weight", "source")).over(every)["source"]
-    sized = sources.select("*", F.sum("weight").over(every).alias("total"), largest.alias("largest"))
-    ample = F.col("weight") * window >= F.col("total")
-    rest = F.sum(F.when(~ample, F.col("weight")).otherwise(0)).over(Window.partitionBy("total"))
+Plan = dict[str, list[tuple[int, int, int, int, int]]]
+
+
+def queues(tokens: DataFrame, window: int = WINDOW, weights: Mapping[str, float] | None = None) -> tuple[DataFrame, Plan]:
+    """``(source, part, base, queue)``, the tokens before a part in its queue, and the phases of each queue.
+
+    One row per source and part. They are numbered across tasks, so neither a hot source nor a queue
+    that many sources share is summed up in one.
+    """
+    parts = stored(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")))
+    sources = stored(_weights(parts.groupBy("source").agg(F.sum("n").alias("tokens")), weights))
+    total = sources.agg(F.sum("weight")).scalar()
+    # Ties for the largest go to the later name.
+    largest = sources.agg(F.max(F.struct("weight", "source"))["source"]).scalar()
+    ample = F.col("weight") * window >= total
+    rest = sources.agg(F.sum(F.when(~ample, F.col("weight")).otherwise(0))).scalar()
     # By name: the shared queue, those of single sources, and that of sources without a share.
-    shared = F.when(rest * window >= F.col("total"), F.lit("")).otherwise(F.concat(F.lit("+"), "largest"))
+    shared = F.when(rest * window >= total, F.lit("")).otherwise(F.concat(F.lit("+"), largest))
     name = F.when(F.col("weight") == 0, F.lit("-")).when(ample, F.concat(F.lit("+"), "source")).otherwise(shared)
-    named = stored(sized.select("source", "tokens", "weight", name.alias("queue")))
+    named = stored(sources.select("source", "tokens", "weight", name.alias("queue")))
     # At most a window's tokens of queues reach the driver.
     sums = named.groupBy("queue").agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight"))
     held = sorted(sums.collect(), key=lambda r: r["queue"])
     dealt = phases([(r["queue"], int(r["tokens"]), int(r["weight"])) for r in held])
-    kinds = "queue string, phases array<struct<skip:bigint,own:bigint,before:bigint,first:bigint,total:bigint>>"
-    plan = tokens.sparkSession.createDataFrame(list(dealt.items()), kinds)
-    owned = named.join(plan, "queue").select("source", "queue", "phases")
-    earlier = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.join(owned, "source").select(
-        "source", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"), "phases"
-    )
+    owned = parts.join(named.select("source", "queue"), "source")
+    summed = with_running_totals(owned, [F.col("queue"), F.col("source"), F.col("part")], ["n"])
+    starts = stored(summed.groupBy("queue").agg(F.min("n_before").alias("first")))
+    placed = summed.join(starts, "queue")
+    return placed.select("source", "part", (F.col("n_before") - F.col("first")).alias("base"), "queue"), dealt
 
 
 def pieces(
@@ -252,13 +259,14 @@ def pieces(
     return out
 
 
-def placed_pieces(x: int, n: int, plan: list[dict], window: int, sequence: int) -> Iterator[tuple[int, int, int]]:
+def placed_pieces(
+    x: int, n: int, plan: list[tuple[int, int, int, int, int]], window: int, sequence: int
+) -> Iterator[tuple[int, int, int]]:
     """The pieces of a text whose queue holds ``x`` tokens before its ``n``, over the queue's phases."""
-    for p in plan:
-        skip, own = p["skip"], p["own"]
+    for skip, own, before, first, total in plan:
         a, b = max(x, skip), min(x + n, skip + own)
         if a < b:
-            for start, length, g in pieces(a - skip, b - a, own, p["before"], p["first"], p["total"], window, sequence):
+            for start, length, g in pieces(a - skip, b - a, own, before, first, total, window, sequence):
                 yield a - x + start, length, g
 
 
@@ -273,17 +281,20 @@ def pack(
     """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``; ids are four-byte
     little-endian numbers. ``docs`` has ``doc_id, source, text``. ``weights`` are target shares of sources;
     without them the corpus' own hold."""
-    tokens = stored(tokenized(docs, path or public_tokenizers.path(VOCABULARY), end))
-    placed = tokens.join(stored(queues(tokens, window, weights)), ["source", "part"])
-    placed = placed.select("doc_id", "ids", "n", (F.col("base") + F.col("start")).alias("x"), "phases")
+    tokens = stored(tokenized(docs, path, end))
+    bases, dealt = queues(tokens, window, weights)
+    placed = tokens.join(stored(bases), ["source", "part"])
+    placed = placed.select("doc_id", "ids", "n", (F.col("base") + F.col("start")).alias("x"), "queue")
+    # Of queues there are at most as many as a window has tokens.
+    plans = docs.sparkSession.sparkContext.broadcast(dealt)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "ids"):
                 rows: list[tuple] = []
-                for doc, ids, n, x, plan in zip(*(c.to_pylist() for c in part.columns)):
+                for doc, ids, n, x, queue in zip(*(c.to_pylist() for c in part.columns)):
                     wide = np.frombuffer(ids, dtype="<u2").astype("<u4")
-                    for start, length, g in placed_pieces(x, n, plan, window, sequence):
+                    for start, length, g in placed_pieces(x, n, plans.value[queue], window, sequence):
                         cut = wide[start : start + length].tobytes()
                         rows.append((doc, start, length, cut, zlib.crc32(cut), n, g // sequence, g % sequence))
                 names = ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
