@@ -71,3 +71,25 @@ def test_identifiers_are_equal_for_equal_strings_only(first, length):
     assert [known.setdefault(s, len(known)) for s in strings]
     pairs = {(known[s], int(n)) for s, n in zip(strings, by_name)}
     assert len(pairs) == len(known) == len(set(by_name.tolist()))
+
+
+def test_swapped_parts_have_other_identifiers():
+    """Parts of one q-gram's length in every order: as many names as orders."""
+    parts = [b"aaab", b"abba", b"bbab", b"baaa", b"abab", b"bbbb", b"aabb", b"babb"]
+    rng = random.Random(1)
+    texts = list({b"".join(rng.sample(parts, 8)) for _ in range(500)})
+    made = exchange.Texts.of(list(range(len(texts))), texts)
+    names = Identifiers(made.sums(), 4, 32).at(made.starts, 32)
+    assert len(set(names.tolist())) == len(texts)
+
+
+def test_deeper_identifiers_are_made_where_asked_for():
+    rng = random.Random(6)
+    text = bytes(rng.choices(b"ab", k=300)) * 3
+    sums = exchange.Texts.of([1], [text]).sums()
+    shallow = Identifiers(sums, 5, 20)
+    starts = np.arange(len(text) - 130 + 1)
+    for length in (20, 33, 41, 80, 130):
+        strings = [text[i : i + length] for i in starts]
+        names = shallow.at(starts, length).tolist()
+        assert len(set(zip(strings, names))) == len(set(strings)) == len(set(names))

@@ -39,8 +39,19 @@ FIRST = 50
 GRAM = 200
 
 
+def _named(one: np.ndarray, later: np.ndarray, step: int) -> np.ndarray:
+    """A name for each pair of identifiers, ``step`` bytes apart; not linear in them, so that no order of parts is as good as another."""
+    name = one * _FIRST + (later + np.uint64(step)) * _LATER
+    name ^= name >> np.uint64(32)
+    name *= _FIRST
+    return name ^ (name >> np.uint64(29))
+
+
+_FIRST, _LATER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
 class Identifiers:
-    """Bucket identifiers of all suffixes of a batch, at each depth that refinement has reached."""
+    """Bucket identifiers of all suffixes of a batch, refined up to a depth; deeper ones where asked for."""
 
     def __init__(self, sums: np.ndarray, first: int, depth: int) -> None:
         # Short strings begin with short q-grams.
@@ -50,18 +61,21 @@ class Identifiers:
             step, last = self.depths[-1], self.names[-1]
             # The identifiers of the suffixes that start a depth later, which are as refined.
             later = last[step:]
-            self.names.append(mix(last[: len(later)] ^ mix(later + np.uint64(step))))
+            self.names.append(_named(last[: len(later)], later, step))
             self.depths.append(2 * step)
 
     def at(self, starts: np.ndarray, length: int) -> np.ndarray:
         """Identifiers of the strings of one length, at least the first depth, from the given starts."""
+        if length > 2 * self.depths[-1]:
+            half = (length + 1) // 2
+            return _named(self.at(starts, half), self.at(starts + (length - half), half), length - half)
         k = max(i for i, d in enumerate(self.depths) if d <= length)
         depth, names = self.depths[k], self.names[k]
-        if depth == length:
-            return names[starts]
-        return mix(names[starts] ^ mix(names[starts + (length - depth)] + np.uint64(length)))
+        return names[starts] if depth == length else _named(names[starts], names[starts + (length - depth)], length - depth)
 
     def all(self, length: int) -> np.ndarray:
+        if length in self.depths:
+            return self.names[self.depths.index(length)]
         return self.at(np.arange(max(0, len(self.names[0]) + self.depths[0] - length)), length)
 
 
@@ -74,7 +88,7 @@ class Suffixes:
         # All starts of strings that stay in their text.
         skip = np.repeat(texts.starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
         starts = np.arange(lengths.sum()) + skip
-        self.identifiers = Identifiers(self.sums, min(FIRST, gram), size)
+        self.identifiers = Identifiers(self.sums, FIRST, gram)
         hashes = self.identifiers.all(gram)
         chosen = sliding_argmin(hashes, size - gram + 1)[starts] if len(starts) else starts
         doc = np.repeat(np.arange(len(lengths)), lengths)
