@@ -23,10 +23,12 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
+from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -41,12 +43,13 @@ WINDOW = SEQUENCE
 PARTS = 10**12
 END = 2
 VOCABULARY = "word_bpe_49k.json"
-# Most distinct words whose tokens a task remembers; then it starts anew.
-WORDS = 1_200_000
+# Most distinct words and chunks whose tokens a worker remembers; then it starts anew.
+WORDS = 900_000
 
 # How the vocabulary's own rules split a text, and what its words end with.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
+MARKS = ".,;:!?"
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 
 # Control characters, and what some take for space.
@@ -71,9 +74,8 @@ class WordTokens:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith(WORD_END)]] = True
         self.words = regex.compile(WORD)
-        # Of words, and of whatever stands between two spaces.
-        self.known: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        # Of words, and of chunks: whatever stands between two spaces.
+        self.known: dict[str, bytes] = {"": b""}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
@@ -86,34 +88,53 @@ class WordTokens:
         return len(latin.translate(None, ODD)) == len(latin) and not any(s in text for s in SPECIAL)
 
     def _learn(self, chunks: list[str]) -> None:
-        parts = {chunk: self.words.findall(chunk) for chunk in chunks}
+        # Most chunks are a word, or a word and a mark, and are not cut by the pattern.
+        parts = {
+            chunk: [chunk] if chunk.isalpha() else [chunk[:-1], chunk[-1]] if chunk[-1] in MARKS and chunk[:-1].isalpha() else self.words.findall(chunk)
+            for chunk in chunks
+        }
         new = list({w for words in parts.values() for w in words if w not in self.known})
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
             ids = np.frombuffer(self.whole(" ".join(some)), dtype="<u2")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            cuts = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(cuts) == len(some):
-                for word, a, b in zip(some, [0, *cuts], cuts):
-                    self.known[word] = ids[a:b].tobytes()
+                raw = ids.tobytes()
+                self.known.update((word, raw[a:b]) for word, a, b in zip(some, [0, *cuts], cuts))
             else:
                 self.known.update((word, self.whole(word)) for word in some)
         for chunk, words in parts.items():
-            self.chunks[chunk] = b"".join([self.known[w] for w in words])
+            if len(words) != 1 or words[0] != chunk:
+                self.known[chunk] = b"".join([self.known[w] for w in words])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.lower().split() if self._plain(t) else None for t in texts]
-        used = set().union(*[c for c in cut if c])
-        new = [c for c in used if c not in self.chunks]
-        if len(self.chunks) + len(new) > WORDS:
-            self.known.clear()
-            self.chunks.clear()
-            new = list(used)
+        """Ids of each text as two-byte numbers. Chunks are counted and put together as whole arrays."""
+        plain = [self._plain(t) for t in texts]
+        lower = pc.utf8_lower(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()))
+        cut = pc.ascii_split_whitespace(lower)
+        chunks = cut.flatten().dictionary_encode()
+        names, at = chunks.dictionary.to_pylist(), chunks.indices.to_numpy(zero_copy_only=False)
+        new = [c for c in names if c not in self.known]
+        if len(self.known) + len(new) > WORDS:
+            self.known = {"": b""}
+            new = [c for c in names if c]
         self._learn(new)
-        known = self.chunks
-        return [
-            b"".join([known[c] for c in chunks]) if chunks is not None else self.whole(t)
-            for t, chunks in zip(texts, cut)
-        ]
+        pieces = [self.known[c] for c in names]
+        pool = np.frombuffer(b"".join(pieces), dtype="<u2")
+        sizes = np.array([len(p) // 2 for p in pieces], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        counts = sizes[at]
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        ids = pool[np.repeat(starts[at] - ends[:-1], counts) + np.arange(ends[-1])].tobytes()
+        cuts = (2 * ends[cut.offsets.to_numpy(zero_copy_only=False)]).tolist()
+        found = iter(ids[a:b] for a, b in zip(cuts, cuts[1:]))
+        return [next(found) if p else self.whole(t) for t, p in zip(texts, plain)]
+
+
+@cache
+def word_tokens(path: str) -> WordTokens:
+    """One for all tasks of a worker, which then know the words of those before."""
+    return WordTokens(path)
 
 
 def tokenized(docs: DataFrame, path: str | None = None, end: int = END) -> DataFrame:
@@ -123,7 +144,7 @@ def tokenized(docs: DataFrame, path: str | None = None, end: int = END) -> DataF
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path or public_tokenizers.path(VOCABULARY))
+        tokens = word_tokens(path or public_tokenizers.path(VOCABULARY))
         part_id = TaskContext.get().partitionId()
         closing = np.array([end], dtype="<u2").tobytes()
         filled: dict[str, int] = {}
