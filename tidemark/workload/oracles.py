@@ -333,8 +333,8 @@ def sparse_slots() -> str:
         UNION ALL {numbers}) WHERE value <> 0"""
 
 
-def cv_scores_nb() -> str:
-    """Each fold of the training part scored by the others' statistics."""
+def cv_scores_nb(result: str) -> str:
+    """Each fold of the training part scored by the others' statistics; ``result`` reads the predictions ``p``."""
     return f"""{scaled_slots()},
     fo AS (SELECT *, CAST(CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 3
                          AS INTEGER) AS fold FROM z WHERE part = 'train'),
@@ -349,8 +349,7 @@ def cv_scores_nb() -> str:
           FROM fo JOIN g ON g.k = fo.fold AND g.slot = fo.slot JOIN n ON n.k = fo.fold AND n.label = g.label
           GROUP BY ALL),
     p AS (SELECT fold, label, ARG_MAX(class, score) AS prediction FROM l GROUP BY fold, customer_id, label)
-    SELECT fold, COUNT(*) AS rows, ROUND(AVG(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy
-    FROM p GROUP BY fold"""
+    {result}"""
 
 
 def permutation_importance() -> str:
@@ -427,6 +426,10 @@ WITH k AS (SELECT *, c_custkey % 25 = 7 AS short, c_custkey % 25 <> 7 AND c_cust
 """
 
 
+# Share of right predictions.
+HIT = "AVG(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0 END)"
+
+
 def oracles() -> dict[str, str]:
     return {
         "scan_csv": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
@@ -445,6 +448,7 @@ def oracles() -> dict[str, str]:
         "write_repartitioned": "SELECT 5::BIGINT AS files, COUNT(*) AS rows_written FROM orders",
         "write_overwrite": "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer",
         "write_with_count": "SELECT COUNT(*) AS rows_written FROM orders",
+        "write_with_count_json": "SELECT COUNT(*) AS rows_written FROM customer",
         "write_if_absent": "SELECT c_custkey, c_mktsegment FROM customer",
         "publish_table": f"{C360} SELECT customer_id, segment, tenure, churn FROM c",
         "stream_ingest": LAST_EVENT,
@@ -548,6 +552,7 @@ def oracles() -> dict[str, str]:
             ROUND(stickiness, 6) AS stickiness, ROUND(growth, 6) AS growth FROM x""",
         "engagement_score": f"""{ENGAGEMENT} SELECT segment,
             ROUND(adoption * stickiness * growth, 6) AS engagement_score FROM x""",
+        "sample_bounds": "SELECT COUNT(*) AS rows, TRUE AS known, TRUE AS near FROM orders",
         "sample_hash": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE CAST('0x' ||
             substr(md5(CAST(o_orderkey AS VARCHAR) || ':42'), 1, 8) AS BIGINT) < 42949673""",
         "split_random": "SELECT c_custkey, c_mktsegment, 1::BIGINT AS parts FROM customer",
@@ -580,7 +585,18 @@ def oracles() -> dict[str, str]:
         "dtc_best_split": f"""{SPLITS} SELECT "column", threshold, left_rows, right_rows, ROUND(gain, 6) AS gain FROM split
             ORDER BY split.gain DESC, "column", threshold LIMIT 1""",
         "permutation_importance": permutation_importance(),
-        "cv_scores_nb": cv_scores_nb(),
+        "cv_scores_nb": cv_scores_nb(f"SELECT fold, COUNT(*) AS rows, ROUND({HIT}, 6) AS accuracy FROM p GROUP BY fold"),
+        "search_nb": cv_scores_nb(
+            f"""SELECT 'smoothing=' || s AS params, 'accuracy' AS metric, ROUND(AVG(a), 6) AS score
+            FROM (SELECT fold, {HIT} AS a FROM p GROUP BY fold) CROSS JOIN (VALUES ('0.5'), ('1.0'), ('2.0')) v(s) GROUP BY s"""
+        ),
+        "train_promote_metric": f"""SELECT 'churn' AS name, 1 AS version, ROUND({HIT}, 6) AS accuracy
+            FROM ({naive_bayes("part = 'test'")})""",
+        "model_record": f"""{scaled_slots()}
+            SELECT * FROM (VALUES ('featuresCol', 'features'), ('labelCol', 'label'), ('modelType', 'gaussian'),
+                ('predictionCol', 'prediction'), ('smoothing', '1.0')) v(name, value)
+            UNION ALL SELECT 'numClasses', CAST(COUNT(DISTINCT label) AS VARCHAR) FROM z WHERE part = 'train'
+            UNION ALL SELECT 'numFeatures', CAST(COUNT(DISTINCT slot) AS VARCHAR) FROM z""",
         "predict_nb": naive_bayes("part = 'test'"),
         "train_promote": "SELECT 'churn' AS name, 1 AS version",
         "score_champion": f"SELECT customer_id, prediction FROM ({naive_bayes('TRUE')})",

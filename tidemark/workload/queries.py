@@ -178,6 +178,12 @@ def write_with_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(written,)], "rows_written bigint")
 
 
+@query
+def write_with_count_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = save_counted(table(spark, sf_dir, "customer"), workspace(spark), fmt="json")
+    return spark.createDataFrame([(written,)], "rows_written bigint")
+
+
 @query
 def write_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark)
@@ -540,6 +546,24 @@ def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.sample(orders, 0.01, SEED)
 
 
+@query
+def sample_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is certain of a random sample: rows of the table, each once, and about as many as asked for.
+
+    Their number is within six deviations of its mean but for two samples in a thousand million.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    drawn = split.sample(orders, 0.01, SEED).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("times"))
+    both = orders.join(drawn, "o_orderkey", "left")
+    rows, taken = F.count(F.lit(1)), F.sum(F.coalesce("times", F.lit(0)))
+    strays = drawn.join(orders, "o_orderkey", "left_anti").agg(F.count(F.lit(1))).scalar()
+    return both.agg(
+        rows.alias("rows"),
+        ((F.max(F.coalesce("times", F.lit(0))) <= 1) & (strays == 0)).alias("known"),
+        (F.abs(taken - rows * 0.01) <= 6 * F.sqrt(rows * 0.01 * 0.99)).alias("near"),
+    )
+
+
 @query
 def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -765,6 +789,28 @@ def train_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.join(logged, "run_id").select("name", "version")
 
 
+@query
+def train_promote_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered version with the accuracy that its run recorded on the test part."""
+    home = _trained_home(spark, sf_dir, 1)
+    runs = home.table(spark, home.runs, registry.RUNS)
+    scores = registry.run_metric(runs, "accuracy").select("run_id", F.col("metric").alias("accuracy"))
+    versions = home.table(spark, home.registry, registry.REGISTRY)
+    return rounded(versions.join(scores, "run_id").select("name", "version", "accuracy"))
+
+
+@query
+def model_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a saved and loaded model says of itself: some of its parameters, and its size."""
+    home = workspace(spark)
+    _, fitted, _, _ = _train(spark, sf_dir, "nb")
+    model = models.load_model(spark, home, models.save_model(fitted, home))
+    told = models.param_map(model)
+    rows = [(n, told[n]) for n in ("featuresCol", "labelCol", "modelType", "predictionCol", "smoothing")]
+    rows += [("numClasses", str(model.numClasses)), ("numFeatures", str(model.numFeatures))]
+    return spark.createDataFrame(rows, "name string, value string")
+
+
 @query
 def score_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers, without their label, scored by the inference flow."""
@@ -786,6 +832,16 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.cv_scores(spark, search, "accuracy")
 
 
+@query
+def search_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a grid search whose folds follow the key's hash."""
+    train, _ = _prepared(spark, sf_dir)
+    rows = features.fit_features(train, PREPARED).transform(train)
+    rows = staged_vectors(rows.select("customer_id", "features", "label"))
+    search = models.cross_validate(rows, "nb", {"smoothing": [0.5, 1.0, 2.0]}, "accuracy", key="customer_id")
+    return rounded(models.cv_scores(spark, search, "accuracy"))
+
+
 @query
 def cv_scores_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy of naive Bayes in each fold, all folds fitted from one aggregate."""
