@@ -7,7 +7,7 @@ from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from tidemark.defaults import CleanConfig, FeatureConfig, TrainConfig
-from tidemark.operators import evaluation, features, sparse
+from tidemark.operators import evaluation, features, logistic, sparse
 from tidemark.plans import Home, score_with_champion, train_and_promote
 
 CONFIG = FeatureConfig(key="id", label="label", wide=True)
@@ -121,3 +121,40 @@ def test_slots_equal_the_dense_path_before_scaling(spark, rows):
     for r in features.one_hot_slots(plain, ["g", "a b"], ["id"]).collect():
         long.setdefault(r["id"], set()).add(r["slot"])
     assert {i: {k for k, v in enumerate(x) if v} for i, x in dense.items()} == long
+
+
+@pytest.mark.parametrize("narrow", [4, 6])
+def test_weights_kept_as_a_table_are_those_of_the_dense_fit(spark, tmp_path, narrow):
+    data = spark.range(900).selectExpr(
+        "id", "cast((id * 7919) % 10 < id % 5 + 2 as double) as label", "if(id % 50 = 3, null, concat('g', id % 5)) as g",
+        "concat('c', id * 31 % 7) as c", "cast(id % 13 as double) as x",
+    )
+    fitted = sparse.fit_sparse(data, CONFIG, str(tmp_path / "f"))
+    logistic.fit_logistic(data, fitted, str(tmp_path / "m"), 0.01, tol=1e-10, narrow=narrow)
+    model = logistic.load_logistic(spark, fitted, str(tmp_path / "m"))
+    estimator = LogisticRegression(regParam=0.01, standardization=False, maxIter=500, tol=1e-13)
+    dense = estimator.fit(fitted.vectors(data))
+    got = {r["slot"]: r["weight"] for r in model.weights(spark).collect()}
+    assert len(got) == fitted.width + 1 and got.pop(-1) == pytest.approx(dense.intercept, abs=1e-5)
+    assert [got[i] for i in range(fitted.width)] == pytest.approx(list(dense.coefficients), abs=1e-5)
+    scored = model.transform(data)
+    theirs = dense.transform(fitted.vectors(data)).select("id", F.col("prediction").alias("theirs"))
+    assert scored.count() == 900 and scored.join(theirs, "id").where("prediction <> theirs").isEmpty()
+    gradient = evaluation.log_loss_gradient(scored, model)
+    assert gradient.count() == fitted.width + 1 and gradient.agg(F.max(F.abs("gradient"))).first()[0] < 1e-9
+
+
+def test_no_weight_of_a_wide_category_is_on_the_driver(spark, tmp_path):
+    data = spark.range(3000).selectExpr("id", "cast(id % 3 = 0 as double) as label", "concat('g', id % 2000) as g", "cast(id % 13 as double) as x")
+    model = logistic.fit_logistic(data, sparse.fit_sparse(data, CONFIG, str(tmp_path / "f")), str(tmp_path / "m"), 0.01)
+    assert model.features.width == 2001 and [s for s, _ in model.near] == [-1, 2000]
+    assert "LocalTableScan" not in evaluation.log_loss_gradient(model.transform(data), model)._jdf.queryExecution().toString()
+
+
+def test_a_fit_needs_labels_and_a_penalty(spark, rows, tmp_path):
+    fitted = sparse.fit_sparse(rows, CONFIG, str(tmp_path / "f"))
+    with pytest.raises(ValueError, match="penalty"):
+        logistic.fit_logistic(rows, fitted, str(tmp_path / "m"), 0.0)
+    unlabelled = rows.withColumn("label", F.expr("nullif(label, 1)"))
+    with pytest.raises(ValueError, match="3 of 5 rows"):
+        logistic.fit_logistic(unlabelled, fitted, str(tmp_path / "m"), 0.01)

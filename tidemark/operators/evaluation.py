@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import named
+from tidemark.operators.logistic import LogisticTable
 from tidemark.operators.models import BINARY_METRICS
+from tidemark.sources.storage import stored
 
 
 def confusion_matrix(
@@ -126,26 +128,35 @@ def evaluate_model(model: Model, test: DataFrame) -> dict[str, float]:
 
 
 def log_loss_gradient(
-    scored: DataFrame, model: Model, slots: str = "slots", label: str = "label"
+    scored: DataFrame, model: Model | LogisticTable, slots: str = "slots", label: str = "label"
 ) -> DataFrame:
     """``(slot, gradient)`` of a logistic model's objective at its fitted point; -1 is the intercept.
 
     The objective is the mean log loss plus the L2 penalty that the model was fitted with, so a model
     at its optimum has 0 everywhere. ``scored`` holds the model's ``probability`` and, as an array
     of ``(slot, value)``, each row's entries other than 0. One aggregate over these entries, of which
-    partial sums alone are shuffled. The penalty must be on plain coefficients
+    partial sums alone are shuffled; the sums are written once. The penalty must be on plain coefficients
     (``standardization=False``) or absent.
     """
-    penalty, mixing = model.getRegParam(), model.getElasticNetParam()
-    if penalty and (mixing or model.getStandardization()):
-        raise ValueError("the gradient is stated for an L2 penalty on plain coefficients")
+    if isinstance(model, LogisticTable):
+        penalty = model.reg_param
+        free = F.when(F.col("slot") == -1, 0.0).otherwise(F.col("weight"))
+        fitted = model.weights(scored.sparkSession).select("slot", free.alias("weight"))
+    else:
+        penalty, mixing = model.getRegParam(), model.getElasticNetParam()
+        if penalty and (mixing or model.getStandardization()):
+            raise ValueError("the gradient is stated for an L2 penalty on plain coefficients")
+        # An MLlib model's coefficients are on the driver in any case.
+        weights = [(i, float(w)) for i, w in enumerate(model.coefficients.toArray())] + [(-1, 0.0)]
+        fitted = scored.sparkSession.createDataFrame(weights, "slot int, weight double")
     residual = vector_to_array("probability")[1] - named(label)
     intercept = F.struct(F.lit(-1).alias("slot"), F.lit(1.0).alias("value"))
     entries = scored.select(residual.alias("residual"), F.explode(F.concat(named(slots), F.array(intercept))).alias("entry"))
-    sums = entries.groupBy(F.col("entry.slot").alias("slot")).agg(F.sum(F.col("residual") * F.col("entry.value")).alias("sum"))
-    # A model's coefficients are on the driver in any case.
-    weights = [(i, float(w)) for i, w in enumerate(model.coefficients.toArray())] + [(-1, 0.0)]
-    fitted = scored.sparkSession.createDataFrame(weights, "slot int, weight double")
-    rows = scored.agg(F.count(F.lit(1))).scalar()
+    sums = entries.groupBy(F.col("entry.slot").alias("slot")).agg(
+        F.sum(F.col("residual") * F.col("entry.value")).alias("sum"), F.count(F.lit(1)).alias("entries")
+    )
+    sums = stored(sums)
+    # Each row has one entry for the intercept; counted there, the rows are not scored again.
+    rows = sums.agg(F.max(F.when(F.col("slot") == -1, F.col("entries")))).scalar()
     gradient = F.coalesce(F.col("sum") / rows, F.lit(0.0)) + penalty * F.col("weight")
     return fitted.join(sums, "slot", "left").select("slot", gradient.alias("gradient"))

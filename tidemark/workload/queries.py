@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +28,7 @@ from tidemark.operators import (
     evaluation,
     features,
     importance,
+    logistic,
     models,
     profile,
     quantiles,
@@ -693,12 +693,11 @@ def sparse_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     The training part is scored again through the saved index; at the optimum all is 0.
     """
     home, uid = workspace(spark), sparse.new_wide_uid()
+    saved = sparse.features_path(home, uid)
     train, _ = split.split_by_hash(_lines(spark, sf_dir), "line")
-    fitted = sparse.fit_sparse(train, WIDE, sparse.features_path(home, uid))
-    estimator = LogisticRegression(regParam=0.01, standardization=False, maxIter=500, tol=1e-10)
-    sparse.save_wide(estimator.fit(fitted.vectors(train).select("features", "label")), home, uid)
-    wide = sparse.load_wide(spark, home, uid)
-    gradient = evaluation.log_loss_gradient(wide.transform(train), wide.classifier)
+    logistic.fit_logistic(train, sparse.fit_sparse(train, WIDE, saved), f"{home}/{uid}/logistic", reg_param=0.01)
+    model = logistic.load_logistic(spark, sparse.load_sparse(spark, saved), f"{home}/{uid}/logistic")
+    gradient = evaluation.log_loss_gradient(model.transform(train), model)
     # Rounding may leave a negative 0.
     return gradient.select("slot", (F.round("gradient", 4) + 0.0).alias("gradient"))
 
