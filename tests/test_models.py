@@ -2,6 +2,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tidemark.defaults import GRIDS, FeatureConfig
@@ -182,3 +183,17 @@ def test_whole_model_round_trip(spark, tmp_path, prepared, fitted):
     assert evaluation.evaluate_model(loaded, prepared) == pytest.approx(
         evaluation.evaluate_model(whole, prepared)
     )
+
+
+def test_rows_of_one_file_are_spread_over_the_tasks_of_a_fit(spark, monkeypatch):
+    rows = spark.range(4000).coalesce(1).selectExpr("id", "cast(id % 2 as double) as label", "array(cast(id % 7 as double), 1.0D) as v")
+    rows = rows.select("id", "label", array_to_vector("v").alias("features"))
+    assert models.spread(rows) is rows
+    parts = models.spread(rows, 1000).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 8 and sum(r["count"] for r in parts) == 4000 and max(r["count"] for r in parts) < 510
+    assert models.spread(rows.limit(0)).count() == 0
+    # The fit itself reads its rows so dealt.
+    read = []
+    monkeypatch.setattr(models, "spread", lambda r, f=models.spread: read.append(f(r, 1000)) or read[0])
+    models.fit_classifier(rows, "dtc", key="id")
+    assert read[0].rdd.getNumPartitions() == 8

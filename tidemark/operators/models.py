@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -44,6 +45,23 @@ ALGORITHMS = {
 }
 
 
+#: A task of a fit gets about so many entries of vectors, 40 MB.
+TASK_ENTRIES = 2_000_000
+
+
+def spread(rows: DataFrame, entries: int = TASK_ENTRIES) -> DataFrame:
+    """The rows dealt evenly to as many tasks as their vectors need; few rows stay where they are.
+
+    Files hold vectors' inputs far smaller than vectors, so one file's task may get all rows
+    of a fit. The first row stands for the number of entries in each.
+    """
+    first = rows.select(FEATURES).first()
+    if first is None or first[0] is None:
+        return rows
+    tasks = math.ceil(rows.count() * max(1, len(first[0].values)) / entries)
+    return rows.repartition(tasks) if tasks > 1 else rows
+
+
 def classifier(algorithm: str) -> tuple[Estimator, bool]:
     """Estimator for a short name, and whether the name is known; unknown gives GBT."""
     known = algorithm in ALGORITHMS
@@ -125,7 +143,7 @@ def fit_classifier(
     ensure_checkpoint_dir(train.sparkSession)
     estimator, known = classifier(algorithm)
     wanted = [FEATURES, "label", *([key] if key else [])]
-    rows = train.select(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = spread(train.select(*wanted)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if grid and known:
             return cross_validate(

@@ -822,7 +822,7 @@ def score_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _prepared(spark, sf_dir)
     rows = features.fit_features(train, PREPARED).transform(train)
-    rows = rows.select("customer_id", "features", "label").persist()
+    rows = models.spread(rows.select("customer_id", "features", "label")).persist()
     try:
         grid = {"maxDepth": [2, 4], "impurity": ["gini", "entropy"]}
         search = models.cross_validate(rows, "dtc", grid, "accuracy", key="customer_id")
